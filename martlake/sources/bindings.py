@@ -120,13 +120,25 @@ def bind_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"))
     second = o.filter(k % 200 == 5).select(
         (k * 10 + 1).alias("review_id"), k.alias("order_id"), F.lit(1).alias("review_score"))
-    return first.unionByName(second)
+    # Columns the driver data has no source for are bound as typed nulls, so
+    # the relation carries the full canonical schema.
+    return first.unionByName(second).select(
+        "review_id", "order_id", "review_score",
+        F.lit(None).cast("string").alias("review_comment_title"),
+        F.lit(None).cast("string").alias("review_comment_message"),
+        F.lit(None).cast("timestamp_ntz").alias("review_creation_date"),
+        F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp"))
+
+
+PRODUCT_MEASURES = ("product_name_lenght", "product_description_lenght", "product_photos_qty",
+                    "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
 
 def bind_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").alias("product_id"),
-                    F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("product_category_name"))
+                    F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("product_category_name"),
+                    *[F.lit(None).cast("double").alias(c) for c in PRODUCT_MEASURES])
 
 
 def bind_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
