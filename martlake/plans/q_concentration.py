@@ -1 +1,131 @@
-"""Driver keys (filled in progressively)."""
+"""Driver keys for seller concentration and the executive metric payload."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from martlake.functions import money_sum
+from martlake.operators.ranking import global_rank
+from martlake.plans import concentration as C
+from martlake.plans import facts, marts
+from martlake.plans.catalog import query, silver
+from martlake.plans.oracle import msum, register, with_ctes
+from martlake.session import materialize
+
+register("seller_ranked", ("mart_seller_performance",), """
+SELECT seller_id, revenue, orders, late_rate,
+  row_number() OVER (ORDER BY revenue DESC, seller_id) AS rank,
+  SUM(CAST(revenue AS DECIMAL(18,2))) OVER (ORDER BY revenue DESC, seller_id ROWS UNBOUNDED PRECEDING) AS cum
+FROM mart_seller_performance""")
+register("seller_totals", ("mart_seller_performance",), f"""
+SELECT COUNT(*) AS n, {msum('revenue')} AS total FROM mart_seller_performance""")
+
+
+def _sellers(spark, sf_dir) -> DataFrame:
+    # The seller mart is read by the rank bounds, the totals and the ranking:
+    # compute it once (as the published gold table would be).
+    return materialize(marts.mart_seller_performance(facts.fact_order_items(silver(spark, sf_dir))))
+
+
+@query("seller_lorenz", with_ctes(["seller_ranked", "seller_totals"], """
+SELECT seller_id, revenue, rank, CAST(cum AS DOUBLE) / total AS cumulative_share, rank / n AS seller_fraction
+FROM seller_ranked, seller_totals"""))
+def q_seller_lorenz(spark, sf_dir):
+    """Cumulative revenue share curve (two-phase global running sum)."""
+    return C.seller_lorenz(_sellers(spark, sf_dir))
+
+
+@query("seller_concentration", with_ctes(["seller_ranked", "seller_totals"], f"""
+SELECT COUNT(*) AS sellers,
+  {msum('CASE WHEN rank <= ceil(n * 0.01::DOUBLE) THEN revenue END')} / ANY_VALUE(total) AS top_1_pct_share,
+  {msum('CASE WHEN rank <= ceil(n * 0.10::DOUBLE) THEN revenue END')} / ANY_VALUE(total) AS top_10_pct_share,
+  CAST(SUM(CAST(CAST(revenue AS DECIMAL(18,2)) AS DECIMAL(38,2)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) / (ANY_VALUE(total) * ANY_VALUE(total)) AS hhi,
+  MAX(revenue) / ANY_VALUE(total) AS top_seller_share
+FROM seller_ranked, seller_totals"""))
+def q_seller_concentration(spark, sf_dir):
+    """Top 1 % and 10 % seller share, HHI, top seller share."""
+    return C.seller_concentration(_sellers(spark, sf_dir))
+
+
+@query("seller_gini", with_ctes(["seller_ranked", "seller_totals"], """
+SELECT COUNT(*) AS sellers,
+  2.0::DOUBLE * CAST(SUM(CAST(ANY_VALUE(n) + 1 - rank AS DECIMAL(12,0)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE)
+    / (COUNT(*) * ANY_VALUE(total)) - (COUNT(*) + 1) / COUNT(*) AS gini
+FROM seller_ranked, seller_totals""".replace(
+    "SUM(CAST(ANY_VALUE(n) + 1 - rank", "SUM(CAST(n + 1 - rank")))
+def q_seller_gini(spark, sf_dir):
+    """Gini coefficient of seller revenue."""
+    return C.seller_gini(_sellers(spark, sf_dir))
+
+
+@query("seller_weighted_late", with_ctes(["mart_seller_performance"], f"""
+SELECT COUNT(*) AS sellers,
+  CAST(SUM(CAST(CAST(late_rate AS DECIMAL(16,10)) AS DECIMAL(38,10)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) / {msum('revenue')}
+    AS revenue_weighted_late_rate
+FROM mart_seller_performance WHERE orders >= 30 AND late_rate IS NOT NULL"""))
+def q_seller_weighted_late(spark, sf_dir):
+    """Revenue-weighted late rate of sellers with at least 30 orders."""
+    return C.seller_weighted_late(_sellers(spark, sf_dir), 30)
+
+
+@query("seller_risk_top", with_ctes(["mart_seller_performance"], """
+SELECT seller_id, orders, revenue, avg_review_score, late_rate FROM mart_seller_performance
+WHERE orders >= 30 AND late_rate IS NOT NULL ORDER BY revenue DESC, seller_id LIMIT 10"""))
+def q_seller_risk_top(spark, sf_dir):
+    """Ten largest sellers among those with at least 30 orders."""
+    return C.seller_risk_top(_sellers(spark, sf_dir), 30, 10)
+
+
+# ------------------------------------------------------------------ executive payload
+def executive_metrics(monthly: DataFrame, categories: DataFrame, sellers: DataFrame,
+                      top_k: int = 5, seller_fraction: float = 0.10) -> DataFrame:
+    """Period, revenue, top categories and top-10 % seller share, in long form
+    ``(metric, position, label, value)``.  Reads only the aggregated marts."""
+    period = monthly.agg(F.min("order_month").cast("string").alias("a"),
+                         F.max("order_month").cast("string").alias("b"),
+                         money_sum("revenue").alias("r"))
+    rows = [
+        period.select(F.lit("period_start").alias("metric"), F.lit(0).cast("bigint").alias("position"),
+                      F.col("a").alias("label"), F.lit(None).cast("double").alias("value")),
+        period.select(F.lit("period_end"), F.lit(0).cast("bigint"), F.col("b"), F.lit(None).cast("double")),
+        period.select(F.lit("revenue"), F.lit(0).cast("bigint"), F.lit(None).cast("string"), F.col("r")),
+    ]
+    # Top-k report over the (small) category mart: at most k rows reach the window.
+    top = categories.orderBy(F.col("revenue").desc(), F.col("category")).limit(top_k)
+    pos = F.row_number().over(Window.orderBy(F.col("revenue").desc(), F.col("category"))).cast("bigint")
+    top = top.select("category", "revenue", "avg_review_score", pos.alias("position"))
+    rows.append(top.select(F.lit("top_category_revenue"), "position", "category", "revenue"))
+    rows.append(top.select(F.lit("top_category_review"), "position", "category", "avg_review_score"))
+    n = sellers.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    k = F.greatest(F.lit(1).cast("bigint"), F.ceil(n * F.lit(seller_fraction)))
+    ranked = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False, tiebreak=["seller_id"])
+    share = ranked.agg(money_sum("revenue").alias("t"),
+                       money_sum(F.when(F.col("rank") <= k, F.col("revenue"))).alias("top"))
+    rows.append(share.select(F.lit("seller_top10_share"), F.lit(0).cast("bigint"), F.lit(None).cast("string"),
+                             F.when(F.col("t") > 0, F.col("top") / F.col("t")).otherwise(F.lit(0.0))))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.union(r)
+    return out
+
+
+@query("executive_metrics", with_ctes(["mart_monthly_sales", "mart_category_performance", "seller_ranked", "seller_totals"], f"""
+SELECT 'period_start' AS metric, CAST(0 AS BIGINT) AS position, CAST(MIN(order_month) AS VARCHAR) AS label,
+  CAST(NULL AS DOUBLE) AS value FROM mart_monthly_sales
+UNION ALL SELECT 'period_end', 0, CAST(MAX(order_month) AS VARCHAR), NULL FROM mart_monthly_sales
+UNION ALL SELECT 'revenue', 0, NULL, {msum('revenue')} FROM mart_monthly_sales
+UNION ALL SELECT 'top_category_revenue', rn, category, revenue FROM (
+  SELECT category, revenue, row_number() OVER (ORDER BY revenue DESC, category) AS rn FROM mart_category_performance) WHERE rn <= 5
+UNION ALL SELECT 'top_category_review', rn, category, avg_review_score FROM (
+  SELECT category, avg_review_score, row_number() OVER (ORDER BY revenue DESC, category) AS rn FROM mart_category_performance) WHERE rn <= 5
+UNION ALL SELECT 'seller_top10_share', 0, NULL,
+  CASE WHEN ANY_VALUE(total) > 0 THEN {msum('CASE WHEN rank <= greatest(1, ceil(n * 0.10::DOUBLE)) THEN revenue END')} / {msum('revenue')}
+       ELSE 0.0 END
+FROM seller_ranked, seller_totals"""))
+def q_executive_metrics(spark, sf_dir):
+    """Executive metric payload from the aggregated marts only."""
+    s = silver(spark, sf_dir)
+    fo, fi = facts.fact_orders(s), facts.fact_order_items(s)
+    return executive_metrics(marts.mart_monthly_sales(fo), marts.mart_category_performance(fi),
+                             materialize(marts.mart_seller_performance(fi)))

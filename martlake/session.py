@@ -58,3 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable
+    checkpoint, survives executor loss; never a machine-local checkpoint).
+
+    Used for small derived relations (marts) that several subplans read, so
+    they are computed once instead of once per subplan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
