@@ -149,3 +149,9 @@ def test_cluster_interval_wider_than_naive_when_clusters_correlate(spark):
     assert cl["ci_low"] < cl["difference"] < cl["ci_high"]
     assert (cl["ci_high"] - cl["ci_low"]) > 1.5 * (nv["ci_high"] - nv["ci_low"])
     assert math.isclose(cl["difference"], nv["difference"])
+
+
+def test_strip_removes_tabs_and_newlines_but_keeps_nulls(spark):
+    from martlake.functions import strip
+    df = spark.createDataFrame([(" \tsao paulo\n",), ("\r\n",), (None,), ("a b",)], "s string")
+    assert [r[0] for r in df.select(strip("s")).collect()] == ["sao paulo", "", None, "a b"]
