@@ -26,7 +26,14 @@ def next_in_sequence(df: DataFrame, entity: Sequence[str] | str, ts: str, tiebre
                      bucket: str = "month", next_ts: str = "next_ts", next_id: str = "next_id") -> DataFrame:
     """Add the timestamp and id of the entity's next event (null for the last)."""
     entity = [entity] if isinstance(entity, str) else list(entity)
-    d = df.withColumn("__bkt", F.date_trunc(bucket, F.col(ts).cast("timestamp_ntz").cast("timestamp")))
+    # Time-zone-free bucket (monotone in ts): calendar truncation of the date.
+    if bucket == "day":
+        bkt = F.to_date(F.col(ts))
+    elif bucket in ("week", "month", "quarter", "year"):
+        bkt = F.trunc(F.to_date(F.col(ts)), bucket)
+    else:
+        bkt = F.date_trunc(bucket, F.col(ts))
+    d = df.withColumn("__bkt", bkt)
     w = Window.partitionBy(*entity, "__bkt").orderBy(F.col(ts), F.col(tiebreak))
     d = (d.withColumn("__n_ts", F.lead(ts).over(w))
           .withColumn("__n_id", F.lead(tiebreak).over(w)))
