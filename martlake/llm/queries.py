@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlake.llm import langid, quality, simhash, toxicity
+from martlake.llm import bpe, langid, quality, secrets, simhash, toxicity, winnow
 from martlake.llm._common import crc_bucket, documents, labelled_sample
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TRAIN_ROWS = 12_000   # bound of the labelled rows a classifier is fitted on
 
 
@@ -32,6 +34,32 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a ledger that has seen nothing yet."""
+    docs = documents(spark, sf_dir)
+    findings, _ = secrets.scan(docs)
+    # the columns are made once a blob, and only these narrow rows meet the paths
+    base = F.filter("found", lambda s: s["place"] < len(secrets.BASE))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    per_blob = secrets.by_blob(findings).select(
+        "blob", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(F.col("found")).alias("spans"))
+    paths = docs.select("doc_id", secrets.content_address(F.col("text")).alias("blob"))
+    return paths.join(per_blob, "blob", "left").select(
+        "doc_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_assign", "n_access", "n_hex")],
+        F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every document and of its edited text."""
+    return winnow.compare_next(documents(spark, sf_dir))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to."""
+    return bpe.token_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     groups = simhash.simhash_groups(documents(spark, sf_dir))
@@ -48,5 +76,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op9_simhash, op10_toxicity)}
-SQL: dict[str, str] = {}
+def _secret_sql() -> str:
+    """DuckDB form of op3: matches and the pieces between them, by list functions."""
+    def one(i: int, r: secrets.Rule) -> str:
+        re = r.pattern.replace("'", "''")
+        return f"""
+        SELECT doc_id, {i} AS place, '{r.kind}' AS kind, unnest(range(1, len(m) + 1)) AS k, m, g, p FROM (
+            SELECT doc_id, regexp_extract_all(t, '{re}', 0) AS m, regexp_extract_all(t, '{re}', {r.group}) AS g,
+                   string_split_regex(t, '{re}') AS p
+            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))"""
+
+    rules = " UNION ALL ".join(one(i, r) for i, r in enumerate(secrets.RULES))
+    least = " ".join(f"WHEN {i} THEN {r.least}" for i, r in enumerate(secrets.RULES))
+    return f"""
+    WITH raw AS ({rules}),
+    placed AS (
+        SELECT doc_id, place, kind, length(m[k]) AS size,
+               list_sum([length(x) FOR x IN p[1:k]]) + coalesce(list_sum([length(x) FOR x IN m[1:k - 1]]), 0) AS s
+        FROM raw WHERE length(g[k]) >= CASE place {least} END),
+    spans AS (
+        SELECT doc_id, place, kind, CAST(s AS BIGINT) AS s,
+               kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + size AS BIGINT) AS span FROM placed),
+    per_doc AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               coalesce(string_agg(span, ',' ORDER BY s, place) FILTER (place < {len(secrets.BASE)}), '') AS base,
+               string_agg(span, ',' ORDER BY s, place) AS spans
+        FROM spans GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents d LEFT JOIN per_doc USING (doc_id)"""
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op8_bpe, op9_simhash,
+                                   op10_toxicity)}
+SQL: dict[str, str] = {"op3_secrets": _secret_sql()}
