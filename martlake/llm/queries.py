@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlake.llm import bpe, langid, quality, secrets, simhash, toxicity, winnow
+from martlake.llm import (
+    bpe, langid, quality, secrets, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
 from martlake.llm._common import crc_bucket, documents, labelled_sample
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +56,18 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_next(documents(spark, sf_dir))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that start in an earlier one."""
+    return suffix_dedup.dedup_bytes(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word passages that start in an earlier one."""
+    return substring_dedup.dedup_words(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to."""
     return bpe.token_digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
@@ -108,6 +121,6 @@ def _secret_sql() -> str:
     FROM documents d LEFT JOIN per_doc USING (doc_id)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op8_bpe, op9_simhash,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op5_suffix_array, op7_substring, op8_bpe, op9_simhash,
                                    op10_toxicity)}
 SQL: dict[str, str] = {"op3_secrets": _secret_sql()}
