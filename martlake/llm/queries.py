@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
-    bpe, langid, quality, secrets, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
+    bpe, decontam, langid, quality, secrets, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
 from martlake.llm._common import crc_bucket, documents, labelled_sample
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -62,6 +62,13 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or with its passages in another order."""
+    return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        "doc_id", "item_id", "n_words", "n_covered", F.round("coverage", 6).alias("coverage"),
+        F.size("tiles").alias("n_tiles"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-word passages that start in an earlier one."""
     return substring_dedup.dedup_words(documents(spark, sf_dir)).select(
@@ -121,6 +128,6 @@ def _secret_sql() -> str:
     FROM documents d LEFT JOIN per_doc USING (doc_id)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op5_suffix_array, op7_substring, op8_bpe, op9_simhash,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op5_suffix_array, op6_decontamination, op7_substring, op8_bpe, op9_simhash,
                                    op10_toxicity)}
 SQL: dict[str, str] = {"op3_secrets": _secret_sql()}
