@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlake.llm import simhash, toxicity
+from martlake.llm import bpe, decontam, secrets, simhash, toxicity
 from martlake.llm._common import crc_bucket, labelled_sample, staged
-from martlake.llm.queries import TRAIN_ROWS
+from martlake.llm.queries import TRAIN_ROWS, VOCABULARY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,9 +26,29 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.drop_near_duplicates(docs, shingle=3, max_bits=2)
 
 
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Decontamination: documents that hold a benchmark item go."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scan: every found span is masked, the document stays."""
+    return secrets.redact(docs, length_col="n_chars")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: token ids (little-endian 32-bit) and what they decode to, as digests."""
+    coded = bpe.add_tokens(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.expr("cast(octet_length(ids) / 4 as long)").alias("n_tokens"), "ids",
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", toxic_out),
     ("simhash_near_dedup", near_copies_out),
+    ("decontamination", benchmark_out),
+    ("secret_scan", secrets_masked),
+    ("byte_bpe", tokens),
 ]
 
 # Learned scores, XXH64 fingerprints and byte-pair encoding have no DuckDB form.

@@ -129,8 +129,10 @@ def join_paths(versions: DataFrame, per_blob: DataFrame, text_col: str = "text")
             .withColumn("found", F.coalesce("found", empty)))
 
 
-def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` (all columns) with every span, overlapping ones as one, replaced by ``mask``."""
+def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES,
+           length_col: str | None = None) -> DataFrame:
+    """``docs`` (all columns) with every span, overlapping ones as one, replaced by ``mask``;
+    ``length_col``, if given, gets the new number of code points where a text changed."""
     findings, _ = scan(docs, text_col, None, rules)
     order = Window.partitionBy("blob").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -144,5 +146,9 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rule
                         lambda c, e: F.substring(text, e.cast("int") + 1, (c["start"] - e).cast("int")))
     rest = F.substring(text, F.element_at(ends, -1).cast("int") + 1, F.char_length(text))
     new = F.array_join(F.concat(pieces, F.array(rest)), mask)
-    return (docs.withColumn("__blob", content_address(text)).join(merged.withColumnRenamed("blob", "__blob"), "__blob", "left")
-            .withColumn(text_col, F.when(cuts.isNull(), text).otherwise(new)).select(*docs.columns))
+    out = (docs.withColumn("__blob", content_address(text)).join(merged.withColumnRenamed("blob", "__blob"), "__blob", "left")
+           .withColumn(text_col, F.when(cuts.isNull(), text).otherwise(new)))
+    if length_col:
+        size = F.char_length(text_col).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(cuts.isNull(), F.col(length_col)).otherwise(size))
+    return out.select(*docs.columns)
