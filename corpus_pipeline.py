@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlake.llm import bpe, decontam, secrets, simhash, toxicity
+from martlake.llm import bpe, decontam, secret_scan, simhash, toxicity
 from martlake.llm._common import crc_bucket, labelled_sample, staged
 from martlake.llm.queries import TRAIN_ROWS, VOCABULARY
 
@@ -33,7 +33,7 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scan: every found span is masked, the document stays."""
-    return secrets.redact(docs, length_col="n_chars")
+    return secret_scan.redact(docs, length_col="n_chars")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

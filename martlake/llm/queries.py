@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
-    bpe, decontam, langid, quality, secrets, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
+    bpe, decontam, langid, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
 from martlake.llm._common import crc_bucket, documents, labelled_sample
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -38,14 +38,14 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a ledger that has seen nothing yet."""
     docs = documents(spark, sf_dir)
-    findings, _ = secrets.scan(docs)
+    findings, _ = secret_scan.scan(docs)
     # the columns are made once a blob, and only these narrow rows meet the paths
-    base = F.filter("found", lambda s: s["place"] < len(secrets.BASE))
+    base = F.filter("found", lambda s: s["place"] < len(secret_scan.BASE))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
-    per_blob = secrets.by_blob(findings).select(
+    per_blob = secret_scan.by_blob(findings).select(
         "blob", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-        F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(F.col("found")).alias("spans"))
-    paths = docs.select("doc_id", secrets.content_address(F.col("text")).alias("blob"))
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("found")).alias("spans"))
+    paths = docs.select("doc_id", secret_scan.content_address(F.col("text")).alias("blob"))
     return paths.join(per_blob, "blob", "left").select(
         "doc_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_assign", "n_access", "n_hex")],
         F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
@@ -98,7 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _secret_sql() -> str:
     """DuckDB form of op3: matches and the pieces between them, by list functions."""
-    def one(i: int, r: secrets.Rule) -> str:
+    def one(i: int, r: secret_scan.Rule) -> str:
         re = r.pattern.replace("'", "''")
         return f"""
         SELECT doc_id, {i} AS place, '{r.kind}' AS kind, unnest(range(1, len(m) + 1)) AS k, m, g, p FROM (
@@ -106,8 +106,8 @@ def _secret_sql() -> str:
                    string_split_regex(t, '{re}') AS p
             FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))"""
 
-    rules = " UNION ALL ".join(one(i, r) for i, r in enumerate(secrets.RULES))
-    least = " ".join(f"WHEN {i} THEN {r.least}" for i, r in enumerate(secrets.RULES))
+    rules = " UNION ALL ".join(one(i, r) for i, r in enumerate(secret_scan.RULES))
+    least = " ".join(f"WHEN {i} THEN {r.least}" for i, r in enumerate(secret_scan.RULES))
     return f"""
     WITH raw AS ({rules}),
     placed AS (
@@ -120,7 +120,7 @@ def _secret_sql() -> str:
     per_doc AS (
         SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
                count(*) FILTER (kind = 'hex') AS n_hex,
-               coalesce(string_agg(span, ',' ORDER BY s, place) FILTER (place < {len(secrets.BASE)}), '') AS base,
+               coalesce(string_agg(span, ',' ORDER BY s, place) FILTER (place < {len(secret_scan.BASE)}), '') AS base,
                string_agg(span, ',' ORDER BY s, place) AS spans
         FROM spans GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,

@@ -3,7 +3,9 @@
 Texts are folded first (lower case, homoglyphs and digit or sign substitutions inside words
 to plain letters, everything else to single spaces).  The lexicon is learned from labelled
 documents: words and word beginnings of four to seven letters whose document frequency
-among toxic documents is far above that among others, weighted by their smoothed log odds.
+among toxic documents is far above that among others and could not be chance among all
+beginnings tested, weighted by the smoothed log ratio of their rates in the two classes;
+near copies count once.
 Counting runs in Spark over a sample of labelled rows that the caller bounds; the lexicon
 is bounded by ``max_patterns``.  Exception phrases cancel the matches inside them.  The summed weights of
 a text, normalised by its length, become a probability by a logistic curve fitted on the
@@ -20,6 +22,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import ahocorasick
@@ -28,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martlake.llm._common import ship
+from martlake.llm._common import ship, staged
 from martlake.llm.curve import fit_curve, sigmoid
 
 # Look-alike letters of other scripts, and signs and digits that stand for letters.
@@ -60,6 +64,12 @@ def fold(text: str | None) -> str:
     return f" {' '.join(words)} " if words else " "
 
 
+def _gist(text: str | None) -> int:
+    """Smallest hash of two neighbouring words: near copies mostly agree in it."""
+    words = fold(text).split()
+    return min((zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:])), default=zlib.crc32(" ".join(words).encode()))
+
+
 @dataclass(frozen=True)
 class ToxicModel:
     patterns: dict[str, float]      # " word " or " beginning" -> weight
@@ -105,37 +115,59 @@ def _raw(texts, automaton) -> np.ndarray:
 
 
 def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", max_patterns: int = 5_000,
-        min_docs: int = 3, min_log_odds: float = 3.5, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
+        min_docs: int = 3, min_log_odds: float = 1.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
     """Learn lexicon and curve from the rows of ``sample`` (text, 0/1 label), which the caller
     bounds (``labelled_sample``)."""
     ship(sample.sparkSession)
-    src = sample.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"))
+
+    @F.pandas_udf("long")
+    def gist(texts: pd.Series) -> pd.Series:
+        return pd.Series([_gist(t) for t in texts], dtype="int64")
+
+    # near copies count once: their words would look like evidence from many documents
+    src = staged(sample.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"))
+                 .withColumn("gist", gist("text")).dropDuplicates(["gist", "y"]).select("text", "y"), "toxic-sample")
 
     def grams(batches):
-        # document frequencies, combined for each batch before the shuffle
+        # document and occurrence counts by class, combined for each batch before the shuffle;
+        # the empty gram holds the number of words
         for b in batches:
-            out: dict[str, list[int]] = {}
+            out: dict[str, list[int]] = {"": [0, 0, 0, 0]}
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen = set()
-                for w in set(fold(text).split()):
-                    seen.add(f" {w} ")
-                    seen.update(f" {w[:k]}" for k in range(4, 8) if len(w) >= k)
-                for g in seen:
-                    out.setdefault(g, [0, 0])[1 if y else 0] += 1
-            # a gram that no toxic document of the sample holds can't enter the lexicon
-            yield pa.RecordBatch.from_pydict({
-                "gram": list(out), "clean": [v[0] for v in out.values()], "toxic": [v[1] for v in out.values()]})
+                k = 1 if y else 0
+                words = Counter(fold(text).split())
+                seen: Counter = Counter()
+                for w, n in words.items():
+                    seen[f" {w} "] += n
+                    for size in range(4, 8):
+                        if len(w) >= size:
+                            seen[f" {w[:size]}"] += n
+                for g, n in seen.items():
+                    row = out.setdefault(g, [0, 0, 0, 0])
+                    row[k] += 1
+                    row[2 + k] += min(n, 5)
+                out[""][2 + k] += sum(words.values())
+            yield pa.RecordBatch.from_pydict({"gram": list(out), **{
+                name: [v[i] for v in out.values()] for i, name in enumerate(("c", "t", "oc", "ot"))}})
 
     counts = src.groupBy("y").count().collect()
     n = {int(r["y"] > 0): r["count"] for r in counts}
     if not n.get(1) or not n.get(0):
         share = min(max(n.get(1, 0) / max(1, sum(n.values())), 0.01), 0.99)
         return ToxicModel({}, exceptions, 0.0, math.log(share / (1 - share)))
-    odds = F.log((F.col("t") + 0.5) / (n[1] + 1.0)) - F.log((F.col("c") + 0.5) / (n[0] + 1.0))
-    table = (src.mapInArrow(grams, "gram string, clean long, toxic long")
-             .groupBy("gram").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-             .filter(F.col("t") >= min_docs).withColumn("w", odds).filter(F.col("w") >= min_log_odds)
-             .orderBy(F.desc(F.col("w") * F.sqrt("t")), "gram").limit(max_patterns).collect())
+    share = n[1] / (n[0] + n[1])
+    t, c = F.col("t"), F.col("c")
+    # how unlikely so many toxic documents among all holders are by chance (Chernoff exponent)
+    chance = t * F.log(t / (t + c) / share) + F.when(c > 0, c * F.log(c / (t + c) / (1 - share))).otherwise(0.0)
+    table = staged(src.mapInArrow(grams, "gram string, c long, t long, oc long, ot long").groupBy("gram")
+                   .agg(*[F.sum(x).alias(x) for x in ("c", "t", "oc", "ot")])
+                   .filter((t + c >= min_docs) | (F.col("gram") == "")), "toxic-grams")
+    words = table.filter("gram = ''").first()
+    odds = (F.log((F.col("ot") + 0.5) / (words["ot"] + 1.0)) - F.log((F.col("oc") + 0.5) / (words["oc"] + 1.0)))
+    tested = max(2, table.count())
+    table = (table.filter(t > 0).withColumn("w", odds).withColumn("luck", chance)
+             .filter((t >= min_docs) & (F.col("w") >= min_log_odds) & (F.col("luck") >= math.log(tested)))
+             .orderBy(F.desc("luck"), "gram").limit(max_patterns).collect())
     model = ToxicModel({r["gram"]: float(r["w"]) for r in table}, exceptions, 0.0, 0.0)
 
     def raw(batches):
