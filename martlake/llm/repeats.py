@@ -331,40 +331,62 @@ def _step3(plan: Plan, buckets: int):
     return run
 
 
+BLOCK = 1 << 19          # bytes of segments indexed at a time; an anchor's segments stay together
+
+
+def _owners(plan: Plan, data: np.ndarray, off: np.ndarray, key: np.ndarray, low: np.ndarray, at: np.ndarray):
+    """Owner of every window of every entry of whole anchors, as runs: ``(entry, length, owner)``."""
+    sym, soff, _, _ = plan.symbols(data, off)
+    h = prefix_hash(sym)
+    cont = span_hash(h, soff[:-1], soff[1:])
+    # one of each content under a key, with the smallest id of all parts
+    order = np.lexsort((cont, key))
+    first = _runs(key[order], cont[order])
+    one = order[first]
+    lowest = np.minimum.reduceat(low[order], first)
+    same = np.empty(len(key), dtype=np.int64)
+    same[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(key)]))
+    size = (soff[1:] - soff[:-1])[one]
+    usoff = np.r_[0, np.cumsum(size)]
+    usym = sym[np.repeat(soff[one] - usoff[:-1], size) + np.arange(usoff[-1])]
+    owner = plan.index(usym, usoff, lowest, key[one], at[one])
+    windows = (soff[1:] - soff[:-1]) - plan.window + 1
+    woff = np.r_[0, np.cumsum(windows)]
+    val = owner[np.repeat(usoff[same] - woff[:-1], windows) + np.arange(woff[-1])]
+    entry = np.repeat(np.arange(len(key)), windows)
+    starts = _runs(val, entry)
+    return entry[starts], np.diff(np.r_[starts, len(val)]), val[starts]
+
+
 def _step4(plan: Plan):
     def run(t: pa.Table) -> pa.Table:
         col = lambda n, kind: np.frombuffer(b"".join(t.column(n).to_pylist()), dtype=kind)
         key, low, at = col("keys", np.uint64), col("lows", np.int64), col("ats", np.uint16).astype(np.int64)
-        data = col("content", np.uint8)
-        sym, soff, _, _ = plan.symbols(data, np.r_[0, np.cumsum(col("lens", np.int32).astype(np.int64))])
-        h = prefix_hash(sym)
-        cont = span_hash(h, soff[:-1], soff[1:])
-        # one of each content under a key, with the smallest id of all parts
-        order = np.lexsort((cont, key))
-        first = _runs(key[order], cont[order])
-        one = order[first]
-        lowest = np.minimum.reduceat(low[order], first)
-        same = np.empty(len(key), dtype=np.int64)
-        same[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(key)]))
-        size = (soff[1:] - soff[:-1])[one]
-        usoff = np.r_[0, np.cumsum(size)]
-        usym = sym[np.repeat(soff[one] - usoff[:-1], size) + np.arange(usoff[-1])]
-        owner = plan.index(usym, usoff, lowest, key[one], at[one])
-        # back to the parts: each entry's windows, as runs of one owner
-        windows = (soff[1:] - soff[:-1]) - plan.window + 1
-        woff = np.r_[0, np.cumsum(windows)]
-        val = owner[np.repeat(usoff[same] - woff[:-1], windows) + np.arange(woff[-1])]
-        of_row = np.repeat(np.arange(t.num_rows), [len(k) // 8 for k in t.column("keys").to_pylist()])
-        row = np.repeat(of_row, windows)
-        starts = _runs(val, row)
-        length = np.diff(np.r_[starts, len(val)])
-        cut = np.searchsorted(row[starts], np.arange(t.num_rows + 1))
-        n = t.num_rows
+        data, size = col("content", np.uint8), col("lens", np.int32).astype(np.int64)
+        off = np.cumsum(size) - size
+        order = np.argsort(key, kind="stable")
+        first = _runs(key[order])
+        ends = np.cumsum(np.add.reduceat(size[order], first))
+        block = np.repeat((ends - 1) // BLOCK, np.diff(np.r_[first, len(order)]))
+        cut = np.r_[_runs(block), len(order)]
+        found = []
+        for x, y in zip(cut, cut[1:]):
+            some = order[x:y]
+            own = np.r_[0, np.cumsum(size[some])]
+            part = data[np.repeat(off[some] - own[:-1], size[some]) + np.arange(own[-1])]
+            entry, length, owner = _owners(plan, part, own, key[some], low[some], at[some])
+            found.append((some[entry], length.astype(np.int32), owner))
+        entry, length, owner = (np.concatenate(z) for z in zip(*found))
+        back = np.argsort(entry, kind="stable")
+        entry, length, owner = entry[back], length[back], owner[back]
+        # back to the parts, in the order in which they sent their entries
+        sent = np.r_[0, np.cumsum([len(k) // 8 for k in t.column("keys").to_pylist()])]
+        cut, n = np.searchsorted(entry, sent), t.num_rows
         return pa.Table.from_pydict({
             "part": t.column("part").to_numpy(), "kind": [2] * n, "bucket": t.column("bucket").to_numpy(),
             "ord": [0] * n, "digest": [0] * n,
-            "a": [length[x:y].astype(np.int32).tobytes() for x, y in zip(cut, cut[1:])],
-            "b": [val[starts[x:y]].tobytes() for x, y in zip(cut, cut[1:])]}, schema=_SIDE)
+            "a": [length[x:y].tobytes() for x, y in zip(cut, cut[1:])],
+            "b": [owner[x:y].tobytes() for x, y in zip(cut, cut[1:])]}, schema=_SIDE)
 
     return run
 
