@@ -53,6 +53,19 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A helper column's name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def held_out(id_col, n: int, rest: int):
+    """Is the id's remainder ``rest``?  A null id is not held out."""
+    return F.coalesce(crc_bucket(id_col, n) == rest, F.lit(False))
+
+
 def crc_bucket(id_col, n: int):
     """crc32 of the id as text, modulo ``n`` (null for a null id)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n)

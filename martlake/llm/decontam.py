@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from martlake.llm._common import ship, staged
+from martlake.llm._common import fresh, ship, staged
 from martlake.llm.slabs import _KIND, prefix_hash, slabs, span_hash, tokens
 
 MIN_MATCH = 5
@@ -233,6 +233,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """``docs`` (all columns) without the contaminated ones, told by id and text."""
     gone = contaminated(docs, benchmark, id_col, text_col, min_match=min_match, threshold=threshold)
     gone = staged(gone.select("doc_id", "digest").distinct(), "decontam-gone")
-    same = (F.col("__i").eqNullSafe(F.col("doc_id_"))) & (F.col("__d") == F.col("digest_"))
-    marked = docs.withColumn("__i", F.col(id_col).cast("long")).withColumn("__d", F.xxhash64(F.col(text_col).cast("string")))
-    return marked.join(gone.toDF("doc_id_", "digest_"), same, "left_anti").select(*docs.columns)
+    i, d, gi, gd = (fresh(docs, n) for n in ("own_id", "own_digest", "gone_id", "gone_digest"))
+    marked = docs.withColumn(i, F.col(id_col).cast("long")).withColumn(d, F.xxhash64(F.col(text_col).cast("string")))
+    same = F.col(i).eqNullSafe(F.col(gi)) & (F.col(d) == F.col(gd))
+    return marked.join(gone.toDF(gi, gd), same, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martlake.llm._common import ship, staged
+from martlake.llm._common import fresh, ship, staged
 from martlake.llm.curve import fit_curve, sigmoid
 from martlake.llm.slabs import slabs
 
@@ -36,6 +36,7 @@ FAMILIES = {
     "slavic": "ru uk be pl cs sk bg sr hr sl mk",
 }
 _FAMILY_OF = {code: name for name, codes in FAMILIES.items() for code in codes.split()}
+_PIECE = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -47,19 +48,21 @@ def features(col: pa.Array) -> np.ndarray:
     """Unit-length n-gram features of every text of a string column."""
     out = np.zeros((len(col), DIM), dtype=np.float32)
     for lo, hi, data, off in slabs(col, 1 << 19):
-        b = _FOLD[data].astype(np.uint32)
-        doc = np.repeat(np.arange(hi - lo), np.diff(off))
-        base = 0
-        for n, width in SIZES:
-            if len(b) >= n:
-                code = b[:len(b) - n + 1].copy()
-                for k in range(1, n):
-                    code = code * np.uint32(257) + b[k:len(b) - n + 1 + k]
-                code = ((code * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(width)
-                inside = doc[n - 1:] == doc[:len(doc) - n + 1]
-                at = doc[:len(code)][inside] * width + code[inside]
-                out[lo:hi, base:base + width] += np.bincount(at, minlength=(hi - lo) * width).reshape(hi - lo, width)
-            base += width
+        for p in range(0, len(data), _PIECE):     # a very long document comes in pieces
+            b = _FOLD[data[p:p + _PIECE + 3]].astype(np.uint32)
+            doc = np.searchsorted(off, np.arange(p, p + len(b)), side="right") - 1
+            base = 0
+            for n, width in SIZES:
+                m = min(_PIECE, len(b) - n + 1)   # n-grams that begin in this piece
+                if m > 0:
+                    code = b[:m].copy()
+                    for k in range(1, n):
+                        code = code * np.uint32(257) + b[k:m + k]
+                    code = ((code * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(width)
+                    inside = doc[n - 1:n - 1 + m] == doc[:m]
+                    at = doc[:m][inside] * width + code[inside]
+                    out[lo:hi, base:base + width] += np.bincount(at, minlength=(hi - lo) * width).reshape(hi - lo, width)
+                base += width
     np.sqrt(out, out=out)
     out /= np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
     return out
@@ -186,6 +189,6 @@ def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         lang, score = model.predict(pa.array(s, pa.string(), from_pandas=True))
         return pd.DataFrame({"lang": lang, "score": score})
 
-    name = "__language"
+    name = fresh(docs, "language")
     return (docs.withColumn(name, predicted(F.col(text_col).cast("string")))
             .withColumn(lang_out, F.col(f"{name}.lang")).withColumn(score_out, F.col(f"{name}.score")).drop(name))

@@ -33,6 +33,7 @@ DIM = 32
 BLOCK = 1024
 NONZERO = 4
 WINDOW = 2
+PIECE = 1 << 17           # tokens handled at a time
 DAMP = 1e-3
 
 
@@ -57,19 +58,21 @@ def _context_sums(batches):
     seen = False
     for b in batches:
         for _, _, data, off in slabs(b.column(0)):
-            slot, doc = _slots(data, off)
-            if not len(slot):
-                continue
-            seen = True
-            vec = index[slot]
-            around = np.zeros_like(vec)
-            for k in range(1, WINDOW + 1):
-                same = (doc[k:] == doc[:-k])[:, None]
-                around[k:] += vec[:-k] * same
-                around[:-k] += vec[k:] * same
-            for d in range(DIM):
-                total[:, d] += np.bincount(slot, weights=around[:, d], minlength=BUCKETS)
-            total[:, DIM] += np.bincount(slot, minlength=BUCKETS)
+            all_slots, all_docs = _slots(data, off)
+            seen = seen or len(all_slots) > 0
+            for p in range(0, len(all_slots), PIECE):     # with the neighbours on both sides
+                left = max(0, p - WINDOW)
+                slot, doc = all_slots[left:p + PIECE + WINDOW], all_docs[left:p + PIECE + WINDOW]
+                vec = index[slot]
+                around = np.zeros_like(vec)
+                for k in range(1, WINDOW + 1):
+                    same = (doc[k:] == doc[:-k])[:, None]
+                    around[k:] += vec[:-k] * same
+                    around[:-k] += vec[k:] * same
+                own = slice(p - left, p - left + PIECE)
+                for d in range(DIM):
+                    total[:, d] += np.bincount(slot[own], weights=around[own, d], minlength=BUCKETS)
+                total[:, DIM] += np.bincount(slot[own], minlength=BUCKETS)
     if seen:
         # sums of small integers: exact in any order of addition
         rows = total.astype(np.int64).astype(np.int32) if np.abs(total).max() < 2**31 else total.astype(np.int64)
@@ -100,25 +103,22 @@ class WordVectors:
         """Pooled features of every text of a string column."""
         index = index_vectors()
         out = np.zeros((len(col), 2 * DIM + 4), dtype=np.float32)
-        for lo, _, data, off in slabs(col):
-            slot, doc = _slots(data, off)
-            if not len(slot):
-                continue
-            first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-            row = lo + doc[first]
-            n = np.diff(np.r_[first, len(doc)]).astype(np.float32)
-            w = self.weights[slot]
-            v = self.vectors[slot]
-            sw = np.maximum(np.add.reduceat(w, first), 1e-9)[:, None]
-            mean = np.add.reduceat(v * w[:, None], first) / sw
-            square = np.add.reduceat(v * v * w[:, None], first) / sw
-            own = np.add.reduceat(index[slot], first) / n[:, None]
-            out[row, :DIM] = mean
-            out[row, DIM:2 * DIM] = np.sqrt(np.maximum(square - mean * mean, 0))
-            out[row, 2 * DIM] = np.sqrt((own * own).sum(axis=1))
-            out[row, 2 * DIM + 1] = np.sqrt((mean * mean).sum(axis=1))
-            out[row, 2 * DIM + 2] = np.log1p(n)
-            out[row, 2 * DIM + 3] = np.log(np.maximum(np.add.reduceat(w, first) / n, 1e-6))
+        for lo, hi, data, off in slabs(col):
+            slots, docs = _slots(data, off)
+            # sums of each document: weights, tokens, vectors, their squares, index vectors
+            total = np.zeros((hi - lo, 2 + 3 * DIM))
+            for p in range(0, len(slots), PIECE):
+                slot, doc = slots[p:p + PIECE], docs[p:p + PIECE]
+                first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+                w, v = self.weights[slot][:, None], self.vectors[slot]
+                total[doc[first]] += np.add.reduceat(
+                    np.hstack([w, np.ones_like(w), v * w, v * v * w, index[slot]]), first, dtype=np.float64)
+            at = np.flatnonzero(total[:, 1])
+            sw, n = np.maximum(total[at, :1], 1e-9), total[at, 1:2]
+            mean, square, own = total[at, 2:2 + DIM] / sw, total[at, 2 + DIM:2 + 2 * DIM] / sw, total[at, 2 + 2 * DIM:] / n
+            out[lo + at] = np.hstack([
+                mean, np.sqrt(np.maximum(square - mean * mean, 0)), np.sqrt((own * own).sum(axis=1, keepdims=True)),
+                np.sqrt((mean * mean).sum(axis=1, keepdims=True)), np.log1p(n), np.log(np.maximum(sw / n, 1e-6))])
         return out
 
 

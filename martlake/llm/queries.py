@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
     bpe, decontam, langid, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
-from martlake.llm._common import crc_bucket, documents, labelled_sample
+from martlake.llm._common import crc_bucket, documents, held_out, labelled_sample
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TRAIN_ROWS = 12_000   # bound of the labelled rows a classifier is fitted on
@@ -23,7 +23,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _labels(spark, sf_dir).filter(crc_bucket("doc_id", 3) != 1)
     model = quality.fit(docs, labelled_sample(docs, train, "quality", TRAIN_ROWS))
     return quality.add_score(docs, model).select(
-        "doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "score",
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -32,7 +32,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     model = langid.fit(docs.filter(crc_bucket("doc_id", 5) != 0))
     return langid.add_language(docs.select("doc_id", "text"), model).select(
-        "doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _labels(spark, sf_dir).filter(crc_bucket("doc_id", 4) != 2)
     model = toxicity.fit(labelled_sample(docs, train, "toxic", TRAIN_ROWS))
     return toxicity.add_score(docs, model).select(
-        "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score",
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

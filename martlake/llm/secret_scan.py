@@ -19,6 +19,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from martlake.llm._common import fresh
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -122,7 +124,7 @@ def span_text(spans: Column) -> Column:
 
 def join_paths(versions: DataFrame, per_blob: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows of ``versions`` with ``found``, the spans of their blob (empty if none)."""
-    name = "__blob"
+    name = fresh(versions, "blob")
     empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
     return (versions.withColumn(name, content_address(F.col(text_col)))
             .join(per_blob.withColumnRenamed("blob", name), name, "left").drop(name)
@@ -139,14 +141,15 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rule
     merged = (findings.withColumn("fresh", F.when(F.coalesce(reach, F.lit(-1)) < F.col("start"), 1).otherwise(0))
               .withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
               .groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-              .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts")))
-    text, cuts = F.col(text_col), F.col("__cuts")
+              .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts")))
+    blob, name = fresh(docs, "blob"), fresh(docs, "cuts")
+    text, cuts = F.col(text_col), F.col(name)
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda c: c["end"]))
     pieces = F.zip_with(cuts, F.slice(ends, F.lit(1), F.size(cuts)),
                         lambda c, e: F.substring(text, e.cast("int") + 1, (c["start"] - e).cast("int")))
     rest = F.substring(text, F.element_at(ends, -1).cast("int") + 1, F.char_length(text))
     new = F.array_join(F.concat(pieces, F.array(rest)), mask)
-    out = (docs.withColumn("__blob", content_address(text)).join(merged.withColumnRenamed("blob", "__blob"), "__blob", "left")
+    out = (docs.withColumn(blob, content_address(text)).join(merged.toDF(blob, name), blob, "left")
            .withColumn(text_col, F.when(cuts.isNull(), text).otherwise(new)))
     if length_col:
         size = F.char_length(text_col).cast(docs.schema[length_col].dataType)

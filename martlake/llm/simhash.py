@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from martlake.llm._common import ship, staged
+from martlake.llm._common import fresh, ship, staged
 from martlake.llm.components import components
 
 SEED = 42
@@ -46,7 +46,10 @@ def simhash_text(text: str | None, shingle: int = 3) -> int:
         digest = xxhash.xxh64_intdigest
         h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(start.tolist(), end)),
                         dtype=np.uint64, count=len(end))
-    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    ones = np.zeros(BITS, dtype=np.int64)
+    for lo in range(0, len(h), 1 << 16):
+        some = h[lo:lo + (1 << 16)].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > len(h), bitorder="little")
     return int(bits.view(np.uint64)[0])
 
@@ -274,9 +277,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # only the ids to go (and ids that repeat) are joined with the texts
     odd = groups.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("n"))
     odd = staged(odd.filter("doc_id is not null and (c <> doc_id or n > 1)"), "simhash-odd")
-    key = docs.withColumn("__i", F.col(id_col).cast("long"))
-    kept = key.join(odd.select(F.col("doc_id").alias("__i")), "__i", "left_anti")
-    again = odd.filter("c = doc_id").select(F.col("doc_id").alias("__i"))
+    ident = fresh(docs, "simhash_id")
+    key = docs.withColumn(ident, F.col(id_col).cast("long"))
+    kept = key.join(odd.select(F.col("doc_id").alias(ident)), ident, "left_anti")
+    again = odd.filter("c = doc_id").select(F.col("doc_id").alias(ident))
     if not again.isEmpty():
-        kept = kept.unionByName(key.join(again, "__i", "left_semi").dropDuplicates(["__i"]))
+        kept = kept.unionByName(key.join(again, ident, "left_semi").dropDuplicates([ident]))
     return kept.select(*docs.columns)

@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from martlake.llm._common import ship, staged
+from martlake.llm._common import fresh, ship, staged
 from martlake.llm.curve import fit_curve, sigmoid
 
 # Look-alike letters of other scripts, and signs and digits that stand for letters.
@@ -45,7 +45,7 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "moron mountain", "circus c
               "not stupid", "not an idiot", "not a moron", "not worthless")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_]{2})")
+_MIXED = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_][^\W_])")
 _WIDE = str.maketrans(HOMOGLYPHS)
 _MORE = re.compile("[" + "".join(HOMOGLYPHS) + "]")
 
@@ -198,5 +198,5 @@ def add_score(docs: DataFrame, model: ToxicModel, text_col: str = "text", out: s
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """Rows of ``docs`` (all columns) whose score is below ``threshold``."""
-    name = "__toxic_score"
+    name = fresh(docs, "toxic_score")
     return add_score(docs, model, text_col, name).filter(F.col(name) < threshold).drop(name)
