@@ -4,8 +4,8 @@ Encoding.  Two neighbouring tokens are *compatible* when merging their joined by
 gives the same two tokens again; a token sequence is the BPE encoding of its bytes exactly
 when every neighbouring pair is compatible.  So the last token of the encoding of each
 prefix of the input follows from those of shorter prefixes, and merges compile into a
-transducer whose state is (last token emitted, bytes read since): reading a byte extends the
-tree of last tokens, and the tokens common to every boundary at which a longer token could
+transducer whose state is the bytes read since the last token emitted: reading a byte extends
+the tree of last tokens, and the tokens common to every boundary at which a longer token could
 still start are emitted.  The lookahead is therefore bounded by the longest token.  States
 and transitions are made when first needed and kept up to ``max_states``; at that point the
 table is dropped and grows anew, so memory is bounded for any input.
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from martlake.llm._common import ship
 
 _NONE = -1
+_ANY = -2
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,31 +39,47 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+_NEVER = 1 << 60
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The definition: join the neighbours whose join has the lowest rank, leftmost first."""
     p = [piece[i:i + 1] for i in range(len(piece))]
-    while len(p) > 1:
-        low, at = min(((ranks.get(p[i] + p[i + 1], 1 << 60)), i) for i in range(len(p) - 1))
-        if low == 1 << 60:
+    join = [ranks.get(x + y, _NEVER) for x, y in zip(p, p[1:])]
+    while join:
+        low = min(join)
+        if low == _NEVER:
             break
-        p[at:at + 2] = [p[at] + p[at + 1]]
+        i = join.index(low)
+        p[i:i + 2] = [p[i] + p[i + 1]]
+        del join[i]
+        if i:
+            join[i - 1] = ranks.get(p[i - 1] + p[i], _NEVER)
+        if i < len(join):
+            join[i] = ranks.get(p[i] + p[i + 1], _NEVER)
     return [ranks[x] for x in p]
 
 
 class State:
-    """What the transducer knows: the last token emitted, the bytes read since, and for each
-    prefix of those bytes the last token of its encoding (its start follows from its length)."""
+    """What the transducer knows: the bytes read since the last token it emitted, and for each
+    prefix of them the last token of its encoding (its start follows from its length).
+    ``before`` is that last token where it matters, else ``_ANY``."""
 
     __slots__ = ("before", "pending", "last", "step", "end")
 
     def __init__(self, before: int, pending: bytes, last: tuple[int, ...]):
         self.before, self.pending, self.last = before, pending, last
-        self.step: dict[int, tuple[State, bytes]] = {}
+        # byte -> next state, ids emitted, last token emitted or _NONE, token to test or _NONE
+        self.step: dict[int, tuple[State, bytes, int, int]] = {}
         self.end: bytes | None = None
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pairs: int = 400_000):
+    """States are shared by all last tokens (``_ANY``) as far as these allow: the transition that
+    makes the pending bytes one token names it, and when the register (the last token emitted)
+    doesn't agree with it, the state of just that register takes over until it emits."""
+
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000, max_pairs: int = 400_000):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         self.id_bytes = [b""] * len(self.bytes_of)
@@ -73,13 +90,13 @@ class Transducer:
         # beginnings of tokens that go on: a boundary before one of them is still open
         self.begun = {b[:k] for b in ranks for k in range(1, len(b))}
         self.max_states, self.max_pairs = max_states, max_pairs
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.derived: dict[int, tuple[list[tuple[int, bytes]], list[tuple[int, bytes]]] | None] = {}
         self.reset()
 
     def reset(self) -> None:
         self.states: dict[tuple[int, bytes], State] = {}
-        self.start = self._state(_NONE, b"", ())
+        self.start = self._state(_ANY, b"", ())
 
     def _state(self, before: int, pending: bytes, last: tuple[int, ...]) -> State:
         key = before, pending
@@ -88,22 +105,79 @@ class Transducer:
             s = self.states[key] = State(before, pending, last)
         return s
 
-    def compatible(self, a: int, b: int) -> bool:
-        """Does merging the joined bytes of ``a`` and ``b`` give (a, b)?  With no ``a``: is
-        ``b`` what its own bytes merge to?"""
-        if a == _NONE:
-            known = self.alone.get(b)
-            if known is None:
-                known = self.alone[b] = merge(self.bytes_of[b], self.ranks) == [b]
+    def _derive(self, t: int) -> tuple[list[tuple[int, bytes]], list[tuple[int, bytes]]] | None:
+        """The merges that make token ``t`` of its bytes, in order: the rank of each with the
+        token at the right edge after it, and with the one at the left edge; None if the bytes
+        merge to something else."""
+        known = self.derived.get(t, 0)
+        if known != 0:
             return known
-        known = self.pairs.get((a, b))
+        p = [self.bytes_of[t][i:i + 1] for i in range(len(self.bytes_of[t]))]
+        right, left = [], []
+        while len(p) > 1:
+            join = [self.ranks.get(x + y, _NEVER) for x, y in zip(p, p[1:])]
+            low = min(join)
+            if low == _NEVER:
+                break
+            i = join.index(low)
+            p[i:i + 2] = [p[i] + p[i + 1]]
+            right.append((low, p[-1]))
+            left.append((low, p[0]))
+        out = self.derived[t] = (right, left) if len(p) == 1 else None
+        return out
+
+    def compatible(self, a: int, b: int) -> bool:
+        """Does merging the joined bytes of ``a`` and ``b`` give (a, b)?  With no or any ``a``:
+        is ``b`` what its own bytes merge to?
+
+        The two derivations run side by side, the lower rank first and the left one of equals;
+        a join over the boundary that comes before the next merge of either would replace it.
+        """
+        if a < 0:
+            return self._derive(b) is not None
+        known = self.pairs.get(a << 32 | b)
         if known is None:
             if len(self.pairs) >= self.max_pairs:
                 self.pairs.clear()
-            known = self.pairs[a, b] = merge(self.bytes_of[a] + self.bytes_of[b], self.ranks) == [a, b]
+            known = self.pairs[a << 32 | b] = self._run_both(a, b)
         return known
 
-    def _path(self, s_before: int, last: list[int], n: int) -> list[int]:
+    def _run_both(self, a: int, b: int) -> bool:
+        one, two = self._derive(a), self._derive(b)
+        if one is None or two is None:
+            return False
+        one, two, ranks = one[0], two[1], self.ranks
+        x, y, i, j = self.bytes_of[a][-1:], self.bytes_of[b][:1], 0, 0
+        over = ranks.get(x + y, _NEVER)
+        while i < len(one) or j < len(two):
+            ra = one[i][0] if i < len(one) else _NEVER
+            rb = two[j][0] if j < len(two) else _NEVER
+            if ra <= rb:
+                if over < ra:
+                    return False
+                edge, i = one[i][1], i + 1
+                if edge is not x:
+                    x = edge
+                    over = ranks.get(x + y, _NEVER)
+            else:
+                if over <= rb:
+                    return False
+                edge, j = two[j][1], j + 1
+                if edge is not y:
+                    y = edge
+                    over = ranks.get(x + y, _NEVER)
+        return over == _NEVER
+
+    def _last(self, before: int, known: tuple[int, ...], u: bytes) -> tuple[int, int]:
+        """Last token of the encoding of ``u`` and its start, from those of its prefixes."""
+        n = len(u)
+        for j in range(max(0, n - self.longest), n):
+            t = self.ranks.get(u[j:])
+            if t is not None and self.compatible(known[j - 1] if j else before, t):
+                return t, j
+        raise ValueError("a byte has no token of its own")
+
+    def _path(self, last, n: int) -> list[int]:
         """Tokens of the encoding of the first ``n`` pending bytes."""
         out = []
         while n:
@@ -112,35 +186,41 @@ class Transducer:
             n -= len(self.bytes_of[t])
         return out[::-1]
 
-    def advance(self, s: State, byte: int) -> tuple[State, bytes]:
-        """Transition on one byte: the next state and the ids emitted (4 bytes each)."""
+    def _shared(self, u: bytes) -> tuple[int, ...]:
+        """Last tokens of the prefixes of ``u`` when what stands before doesn't matter."""
+        known = self.states.get((_ANY, u))
+        if known is not None:
+            return known.last
+        last: tuple[int, ...] = ()
+        for k in range(1, len(u) + 1):
+            last += (self._last(_ANY, last, u[:k])[0],)
+        return last
+
+    def advance(self, s: State, byte: int) -> tuple[State, bytes, int, int]:
+        """Make the transition of a state on one byte."""
         u = s.pending + bytes((byte,))
-        last = list(s.last)
-        ranks, n = self.ranks, len(u)
-        for j in range(max(0, n - self.longest), n):
-            t = ranks.get(u[j:])
-            if t is not None and self.compatible(last[j - 1] if j else s.before, t):
-                last.append(t)
-                break
-        else:
-            raise ValueError("a byte has no token of its own")
+        token, start = self._last(s.before, s.last, u)
+        last, n = s.last + (token,), len(u)
         # paths to the boundaries where a token may still start; what they share is decided
-        paths = [self._path(s.before, last, j) for j in range(n + 1) if j == n or u[j:] in self.begun]
-        common = 0
-        low, high = min(paths), max(paths)
-        while common < min(len(low), len(high)) and low[common] == high[common]:
+        paths = [self._path(last, j) for j in range(n + 1) if j == n or u[j:] in self.begun]
+        low, high, common = min(paths), max(paths), 0
+        while common < len(low) and low[common] == high[common]:
             common += 1
         done = low[:common]
-        size = sum(len(self.bytes_of[t]) for t in done)
-        rest = last[size:]
-        nxt = self._state(done[-1] if done else s.before, u[size:], tuple(rest))
-        out = nxt, b"".join(self.id_bytes[t] for t in done)
+        test = token if s.before == _ANY and start == 0 else _NONE
+        if done:
+            size = sum(len(self.bytes_of[t]) for t in done)
+            rest, left = u[size:], last[size:]
+            before = _ANY if left == self._shared(rest) else done[-1]
+            out = self._state(before, rest, left), b"".join(self.id_bytes[t] for t in done), done[-1], test
+        else:
+            out = self._state(s.before, u, last), b"", _NONE, test
         s.step[byte] = out
         return out
 
     def finish(self, s: State) -> bytes:
         if s.end is None:
-            s.end = b"".join(self.id_bytes[t] for t in self._path(s.before, list(s.last), len(s.pending)))
+            s.end = b"".join(self.id_bytes[t] for t in self._path(s.last, len(s.pending)))
         return s.end
 
     def encode_piece(self, piece: bytes) -> bytes:
@@ -149,26 +229,26 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return self.id_bytes[whole]
-        if len(self.states) > self.max_states:
-            self.reset()
-        s, out = self.start, []
+        s, register, out = self.start, _NONE, []
         for b in piece:
-            move = s.step.get(b)
-            s, ids = move or self.advance(s, b)
+            nxt, ids, emitted, test = s.step.get(b) or self.advance(s, b)
+            if test >= 0 and register >= 0 and not self.compatible(register, test):
+                s = self._state(register, s.pending, s.last)
+                nxt, ids, emitted, test = s.step.get(b) or self.advance(s, b)
+            s = nxt
             if ids:
                 out.append(ids)
-            if not move and len(self.states) > self.max_states:
-                here = s
-                self.reset()
-                s = self._state(here.before, here.pending, here.last)
+                register = emitted
         out.append(self.finish(s))
+        if len(self.states) > self.max_states:
+            self.reset()
         return b"".join(out)
 
 
 class PieceMemo(dict):
     """Encodings of pretokens met before; bounded, and long pieces are not kept."""
 
-    def __init__(self, transducer: Transducer, limit: int = 200_000, longest: int = 48):
+    def __init__(self, transducer: Transducer, limit: int = 250_000, longest: int = 48):
         super().__init__()
         self.transducer, self.limit, self.longest = transducer, limit, longest
 
