@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 # available); every revenue mart excludes them.
 COMMERCIAL_EXCLUDED = ("canceled", "unavailable")
 
-MONEY_TYPE = "decimal(18,2)"
+# Ten decimals and 18 integer digits an amount; a sum has 28 integer digits, so neither the
+# amounts' own digits are cut nor can a sum of them overflow.
+MONEY_TYPE = "decimal(28,10)"
 
 
 def _c(col) -> Column:
@@ -21,7 +23,7 @@ def _c(col) -> Column:
 
 
 def money(col) -> Column:
-    """A currency amount as an exact two-decimal number."""
+    """A currency amount as an exact decimal number (no rounding to cents)."""
     return _c(col).cast(MONEY_TYPE)
 
 
@@ -29,8 +31,8 @@ def money_sum(col) -> Column:
     """Exact currency sum returned as double.
 
     Summing doubles depends on the order rows arrive in, which differs between
-    partitions, retries and engines.  Summing the two-decimal value is exact
-    and therefore the same on every run; the one cast back to double keeps the
+    partitions, retries and engines.  Summing the decimal value is exact and
+    therefore the same on every run; the one cast back to double keeps the
     public schema.
     """
     return F.sum(money(col)).cast("double")
@@ -96,9 +98,9 @@ def null_safe_bool(cond) -> Column:
     return F.coalesce(_c(cond), F.lit(False))
 
 
-# The whitespace characters stripped from text (space, tab,
-# newline, carriage return, form feed, vertical tab).
-WHITESPACE = " \t\n\r\f\x0b"
+# The characters stripped from text: everything Unicode counts as white space, and the four
+# ASCII separators.  None lies above U+3000.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(col) -> Column:

@@ -65,7 +65,7 @@ def cluster_totals(df: DataFrame, cluster: str, group: str, value: str, group_a,
     """Per cluster: sum and count of ``value`` in group A and in group B (eligible rows only)."""
     missing = {cluster, group, value} - set(df.columns)
     if missing:
-        raise KeyError(f"columns missing for the clustered bootstrap: {sorted(missing)}")
+        raise KeyError(f"bootstrap input lacks {sorted(missing)}")
     s = (df.select(F.col(cluster).alias("c"), F.col(group).alias("g"), F.col(value).alias("v"))
          .dropna().filter(F.col("g").isin(group_a, group_b))
          .withColumn("v", F.col("v").try_cast("double")).dropna(subset=["v"]))
@@ -80,7 +80,7 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
                    validate: bool = True) -> DataFrame:
     """One row: observed A - B difference of means, interval, iteration and cluster counts."""
     if iterations <= 0:
-        raise ValueError("iterations must be greater than zero")
+        raise ValueError(f"{iterations} iterations asked for, at least one is needed")
     # Per-cluster totals are read by the validation, the observed difference and
     # the resampling: written once to the checkpoint folder.
     totals = materialize(cluster_totals(df, cluster, group, value, group_a, group_b))
@@ -89,9 +89,9 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
     if validate:
         row = stats.first()  # one aggregate row
         if not row or not row["clusters"]:
-            raise ValueError("no eligible rows for the clustered bootstrap")
+            raise ValueError("nothing to resample: every row has a null or another group")
         if not row["ca"] or not row["cb"]:
-            raise ValueError("both groups need at least one eligible observation")
+            raise ValueError("one of the two groups has no row")
 
     reps = totals.select("sa", "ca", "sb", "cb", cluster_seed(F.col("c"), seed).alias("h"),
                          F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("it"))
@@ -102,6 +102,8 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
     valid = per_it.filter((F.col("wca") > 0) & (F.col("wcb") > 0)).select(
         (F.col("wsa") / F.col("wca") - F.col("wsb") / F.col("wcb")).alias("diff"))
     ci = quantiles(valid, "diff", probs, ["ci_low", "ci_high"])
+    if validate:
+        _check_resamples(valid.count(), iterations)
     n_valid = valid.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     out = stats.select(
         (F.col("sa") / F.col("ca") - F.col("sb") / F.col("cb")).alias("difference"),
@@ -111,9 +113,10 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
     return out
 
 
-def warn_if_discarded(result_row, limit: float = 0.05) -> None:
-    """Warn when more than ``limit`` of the iterations lacked one of the groups."""
-    discarded = result_row["iterations"] - result_row["valid_iterations"]
-    if discarded > result_row["iterations"] * limit:
-        warnings.warn(f"bootstrap: {discarded}/{result_row['iterations']} iterations discarded "
-                      "because a group was absent from the resample")
+def _check_resamples(valid: int, iterations: int, limit: float = 0.05) -> None:
+    """Error if no resample held both groups, warning if more than ``limit`` of them lacked one."""
+    if not valid:
+        raise ValueError(f"none of {iterations} resamples holds both groups")
+    lost = iterations - valid
+    if lost > limit * iterations:
+        warnings.warn(f"{lost} of {iterations} resamples lack one group and are left out", stacklevel=3)

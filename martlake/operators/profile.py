@@ -44,7 +44,7 @@ def _exact_moments(x: Column, decimal_type: str) -> list[Column]:
     return [F.count(x).alias("count"), F.sum(v).alias("_s"), F.sum(v * v).alias("_ss")]
 
 
-def describe(df: DataFrame, col: str, probs: Sequence[float], decimal_type: str = "decimal(18,2)",
+def describe(df: DataFrame, col: str, probs: Sequence[float], decimal_type: str = "decimal(24,6)",
              scale: float = 1.0) -> DataFrame:
     """Count, mean, sample std, min, exact percentiles (interpolated), max of ``col / scale``.
 

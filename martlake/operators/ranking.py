@@ -34,7 +34,7 @@ def global_rank(df: DataFrame, key_col: str, ascending: bool = True,
     """Add ``rank_col`` (1..n in (key, tiebreak) order) and, if ``value_col`` is
     given, ``cum_col`` = exact running sum of ``money(value_col)`` in that order.
 
-    The key must be non-null and numeric.
+    The key is numeric; rows with a null key come last in either direction.
     """
     k = F.col(key_col).cast("double")
     d = df.withColumn("__k", k if ascending else -k)
@@ -43,9 +43,10 @@ def global_rank(df: DataFrame, key_col: str, ascending: bool = True,
     bounds = sorted(set(float(x) for x in (row["b"] or [])))
     arr = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<double>")
     # Number of bounds strictly below the key: ties share a bucket.
-    d = d.withColumn("__bucket", F.size(F.filter(arr, lambda x: x < F.col("__k"))))
+    below = F.size(F.filter(arr, lambda x: x < F.col("__k")))
+    d = d.withColumn("__bucket", F.when(F.col("__k").isNull(), len(bounds) + 1).otherwise(below))
 
-    val = money(value_col) if value_col else F.lit(0).cast("decimal(18,2)")
+    val = money(value_col) if value_col else F.lit(0).cast("decimal(28,10)")
     d = d.withColumn("__v", val)
     per_bucket = d.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__bn"), F.sum("__v").alias("__bs"))
     # At most `buckets` rows: an unpartitioned window here is bounded.
@@ -56,7 +57,7 @@ def global_rank(df: DataFrame, key_col: str, ascending: bool = True,
         F.coalesce(F.sum("__bs").over(before), F.lit(0)).alias("__off_s"))
     d = d.join(F.broadcast(offsets), "__bucket")
 
-    order = [F.col("__k")] + [F.col(c).asc_nulls_last() for c in tiebreak]
+    order = [F.col("__k").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
     within = Window.partitionBy("__bucket").orderBy(*order)
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn(rank_col, F.col("__off_n") + F.row_number().over(within))

@@ -2,7 +2,7 @@
 
 Both sides are aggregated to the order grain first (a many-to-many join of
 payments and items would multiply values), then full-outer joined with a
-side marker.  Amounts are exact two-decimal sums, so the tolerance tests are
+side marker.  Amounts are exact decimal sums, so the tolerance tests are
 exact as well.
 """
 

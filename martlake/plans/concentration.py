@@ -67,7 +67,7 @@ def seller_gini(sellers: DataFrame, buckets: int = 64) -> DataFrame:
                        - (F.col("sellers") + 1) / F.col("sellers")).alias("gini"))
 
 
-LATE_RATE_DECIMAL = "decimal(16,10)"
+LATE_RATE_DECIMAL = "decimal(17,16)"
 
 
 def seller_weighted_late(sellers: DataFrame, min_orders: int = 30) -> DataFrame:

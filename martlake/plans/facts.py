@@ -49,14 +49,6 @@ def order_header(s: RetailSources) -> DataFrame:
     return s.orders.join(customers, "customer_id", "left")
 
 
-FACT_ORDER_COLUMNS = [
-    "order_id", "customer_id", "customer_unique_id", "customer_state", "order_status",
-    "order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date",
-    "order_estimated_delivery_date", "item_revenue", "freight_value", "item_count",
-    "seller_count", "payment_value", "review_score", "delivery_days", "is_late",
-]
-
-
 def fact_orders(s: RetailSources) -> DataFrame:
     """One row per order with item totals, payments, reviews and delivery."""
     f = (order_header(s)
@@ -77,15 +69,6 @@ def fact_orders(s: RetailSources) -> DataFrame:
     )
 
 
-FACT_ITEM_COLUMNS = [
-    "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
-    "customer_unique_id", "customer_state", "order_status", "order_purchase_timestamp",
-    "order_delivered_customer_date", "order_estimated_delivery_date", "price",
-    "freight_value", "category", "is_category_missing", "seller_state", "review_score",
-    "is_late",
-]
-
-
 def fact_order_items(s: RetailSources) -> DataFrame:
     """One row per order item with order, customer, product, seller and review.
 
@@ -97,9 +80,7 @@ def fact_order_items(s: RetailSources) -> DataFrame:
     customers = s.customers.select("customer_id", "customer_unique_id", "customer_state")
     products = s.products.select("product_id", "product_category_name", "is_category_missing")
     sellers = s.sellers.select("seller_id", "seller_state")
-    # Bounded by the number of categories: safe to broadcast at any data size.
-    translation = F.broadcast(s.product_category_name_translation.select(
-        "product_category_name", "product_category_name_english"))
+    translation = s.product_category_name_translation.select("product_category_name", "product_category_name_english")
     f = (s.order_items
          .join(orders, "order_id", "left")
          .join(reviews_by_order(s.order_reviews), "order_id", "left")

@@ -9,6 +9,8 @@ which would cost an extra range shuffle for no semantic gain.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,48 +39,66 @@ def mart_category_performance(fact_items: DataFrame) -> DataFrame:
                  F.avg(F.col("is_late").cast("int")).alias("late_rate")))
 
 
-def mart_customer_value(fact_orders: DataFrame) -> DataFrame:
-    """Per person modal state, orders, observed CLV, first/last purchase, repeat flag.
+def modal(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Per key the most frequent non-null value of each column (the smallest of tied ones).
 
-    ``mode(.., deterministic=true)`` returns the smallest of tied values and
-    null when the group only has nulls.
+    One pass: values are counted per (key, column, value), so a hot key is combined on the
+    map side, and only these counts meet per key.
     """
-    return (fact_orders.filter(commercial())
-            .groupBy("customer_unique_id")
-            .agg(F.mode("customer_state", True).alias("customer_state"),
-                 F.count(F.lit(1)).alias("orders"),
-                 money_sum("item_revenue").alias("observed_clv"),
-                 F.min("order_purchase_timestamp").alias("first_order_at"),
-                 F.max("order_purchase_timestamp").alias("last_order_at"))
-            .withColumn("is_repeat_customer", F.col("orders") > 1))
+    pairs = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(cols)])).alias("p"))
+    counts = pairs.select(key, "p.c", "p.v").filter("v is not null").groupBy(key, "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(key).agg(*[
+        F.min_by(F.when(F.col("c") == i, F.col("v")), F.when(F.col("c") == i, F.struct(-F.col("n"), F.col("v")))).alias(c)
+        for i, c in enumerate(cols)])
+
+
+def _with_modal(agg: DataFrame, rows: DataFrame, key: str, col: str) -> DataFrame:
+    m = modal(rows, key, [col]).withColumnRenamed(key, "__key")
+    return agg.join(m, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+
+
+def mart_customer_value(fact_orders: DataFrame) -> DataFrame:
+    """Per person modal state, orders, observed CLV, first/last purchase, repeat flag."""
+    rows = fact_orders.filter(commercial())
+    per_person = rows.groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        money_sum("item_revenue").alias("observed_clv"),
+        F.min("order_purchase_timestamp").alias("first_order_at"),
+        F.max("order_purchase_timestamp").alias("last_order_at"))
+    return (_with_modal(per_person, rows, "customer_unique_id", "customer_state")
+            .select("customer_unique_id", "customer_state", "orders", "observed_clv", "first_order_at",
+                    "last_order_at", (F.col("orders") > 1).alias("is_repeat_customer")))
 
 
 def mart_seller_performance(fact_items: DataFrame) -> DataFrame:
     """Per seller modal state, orders, GMV, item-weighted review and late rate."""
-    return (fact_items.filter(commercial())
-            .groupBy("seller_id")
-            .agg(F.mode("seller_state", True).alias("seller_state"),
-                 F.countDistinct("order_id").alias("orders"),
-                 money_sum("price").alias("revenue"),
-                 F.avg("review_score").alias("avg_review_score"),
-                 F.avg(F.col("is_late").cast("int")).alias("late_rate")))
+    rows = fact_items.filter(commercial())
+    per_seller = rows.groupBy("seller_id").agg(
+        F.countDistinct("order_id").alias("orders"),
+        money_sum("price").alias("revenue"),
+        F.avg("review_score").alias("avg_review_score"),
+        F.avg(F.col("is_late").cast("int")).alias("late_rate"))
+    return (_with_modal(per_seller, rows, "seller_id", "seller_state")
+            .select("seller_id", "seller_state", "orders", "revenue", "avg_review_score", "late_rate"))
 
 
 def geolocation_by_zip(geolocation: DataFrame) -> DataFrame:
     """One row per zip: median lat/lng (linear interpolation), modal city/state.
 
-    The medians come from the skew-safe exact quantile operator, so a zip that
-    holds a third of all rows is still split over many tasks.
+    Rows without a zip belong to none and drop out.  Both medians come from one pass of the
+    exact quantile operator over (zip, axis).
     """
     zip_col = "geolocation_zip_code_prefix"
-    lat = grouped_quantiles(geolocation, [zip_col], "geolocation_lat", [0.5], "geolocation_lat")
-    lng = grouped_quantiles(geolocation, [zip_col], "geolocation_lng", [0.5], "geolocation_lng")
-    modes = geolocation.groupBy(zip_col).agg(
-        F.mode("geolocation_city", True).alias("geolocation_city"),
-        F.mode("geolocation_state", True).alias("geolocation_state"))
-    return (modes.join(lat, zip_col, "left").join(lng, zip_col, "left")
-            .select(zip_col, "geolocation_lat", "geolocation_lng",
-                    "geolocation_city", "geolocation_state"))
+    axes = ("geolocation_lat", "geolocation_lng")
+    known = geolocation.filter(F.col(zip_col).isNotNull())
+    long = known.select(zip_col, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("axis"), F.col(c).cast("double").alias("at")) for i, c in enumerate(axes)])).alias("p"))
+    medians = grouped_quantiles(long.select(zip_col, "p.*"), [zip_col, "axis"], "at", [0.5], "q")
+    wide = medians.groupBy(zip_col).agg(*[F.max(F.when(F.col("axis") == i, F.col("q"))).alias(c) for i, c in enumerate(axes)])
+    modes = modal(known, zip_col, ["geolocation_city", "geolocation_state"])
+    return (known.select(zip_col).distinct().join(wide, zip_col, "left").join(modes, zip_col, "left")
+            .select(zip_col, *axes, "geolocation_city", "geolocation_state"))
 
 
 def ordered(mart_name: str, df: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def q_seller_gini(spark, sf_dir):
 
 @query("seller_weighted_late", with_ctes(["mart_seller_performance"], f"""
 SELECT COUNT(*) AS sellers,
-  CAST(SUM(CAST(CAST(late_rate AS DECIMAL(16,10)) AS DECIMAL(38,10)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) / {msum('revenue')}
+  CAST(CAST(SUM(CAST(CAST(late_rate AS VARCHAR) AS DECIMAL(17,16)) * CAST(revenue AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE) / {msum('revenue')}
     AS revenue_weighted_late_rate
 FROM mart_seller_performance WHERE orders >= 30 AND late_rate IS NOT NULL"""))
 def q_seller_weighted_late(spark, sf_dir):

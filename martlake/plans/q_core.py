@@ -66,7 +66,8 @@ def q_mart_seller_performance(spark, sf_dir):
 _GEO_BY_ZIP_SQL = with_ctes(["s_geolocation"], """
 SELECT g.geolocation_zip_code_prefix, g.geolocation_lat, g.geolocation_lng, c.geolocation_city, s.geolocation_state
 FROM (SELECT geolocation_zip_code_prefix, quantile_cont(geolocation_lat, 0.5) AS geolocation_lat,
-        quantile_cont(geolocation_lng, 0.5) AS geolocation_lng FROM s_geolocation GROUP BY 1) g
+        quantile_cont(geolocation_lng, 0.5) AS geolocation_lng FROM s_geolocation
+      WHERE geolocation_zip_code_prefix IS NOT NULL GROUP BY 1) g
 LEFT JOIN (SELECT geolocation_zip_code_prefix, geolocation_city FROM (
     SELECT geolocation_zip_code_prefix, geolocation_city, row_number() OVER (
       PARTITION BY geolocation_zip_code_prefix ORDER BY COUNT(*) DESC, geolocation_city) AS rn

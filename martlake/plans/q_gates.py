@@ -98,12 +98,16 @@ def q_gold_contracts(spark, sf_dir):
 
 def gold_relations(silver) -> dict[str, DataFrame]:
     """The six published gold relations."""
-    fo, fi = facts.fact_orders(silver), facts.fact_order_items(silver)
-    return {"fact_orders": fo, "fact_order_items": fi,
-            "mart_monthly_sales": marts.mart_monthly_sales(fo),
-            "mart_category_performance": marts.mart_category_performance(fi),
-            "mart_customer_value": marts.mart_customer_value(fo),
-            "mart_seller_performance": marts.mart_seller_performance(fi)}
+    both = {"fact_orders": facts.fact_orders(silver), "fact_order_items": facts.fact_order_items(silver)}
+    return both | gold_marts(**both)
+
+
+def gold_marts(fact_orders: DataFrame, fact_order_items: DataFrame) -> dict[str, DataFrame]:
+    """The four marts over the two facts."""
+    return {"mart_monthly_sales": marts.mart_monthly_sales(fact_orders),
+            "mart_category_performance": marts.mart_category_performance(fact_order_items),
+            "mart_customer_value": marts.mart_customer_value(fact_orders),
+            "mart_seller_performance": marts.mart_seller_performance(fact_order_items)}
 
 
 @query("layer_row_counts", with_ctes(
@@ -118,6 +122,6 @@ def q_layer_row_counts(spark, sf_dir):
     s = to_silver(b)
     frames = [_count(df, "bronze", t) for t, df in b.as_dict().items()]
     frames += [_count(df, "silver", t) for t, df in s.as_dict().items()]
-    frames.append(_count(s.geolocation.select("geolocation_zip_code_prefix").distinct(), "silver", "geolocation_by_zip"))
+    frames.append(_count(marts.geolocation_by_zip(s.geolocation), "silver", "geolocation_by_zip"))
     frames += [_count(df, "gold", t) for t, df in gold_relations(s).items()]
     return reduce(DataFrame.unionByName, frames)

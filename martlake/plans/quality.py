@@ -25,6 +25,7 @@ from martlake.operators.outliers import extreme_flags
 from martlake.operators.reconcile import payment_reconciliation
 from martlake.sources import contracts as K
 from martlake.sources.bindings import RetailSources
+from martlake.sources.csv_source import timestamp
 
 REPORT_SCHEMA = "check_id int, check string, severity string, passed boolean, observed double"
 
@@ -40,7 +41,7 @@ def _row(frame: DataFrame, check_id: int, name: str, passed: Column, observed: C
 def parse_ts(col: str, dtype) -> Column:
     """Coerce a date column: text is parsed (bad text -> null), typed values pass through."""
     if isinstance(dtype, StringType):
-        return F.try_to_timestamp(F.col(col)).cast("timestamp_ntz")
+        return timestamp(F.col(col))
     return F.col(col).cast("timestamp_ntz")
 
 

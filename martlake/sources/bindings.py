@@ -66,8 +66,7 @@ def bind_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nation(spark, sf_dir):
-    # nation is a fixed 25-row domain table: broadcasting it is bounded.
-    return F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def bind_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -155,3 +155,48 @@ def test_strip_removes_tabs_and_newlines_but_keeps_nulls(spark):
     from martlake.functions import strip
     df = spark.createDataFrame([(" \tsao paulo\n",), ("\r\n",), (None,), ("a b",)], "s string")
     assert [r[0] for r in df.select(strip("s")).collect()] == ["sao paulo", "", None, "a b"]
+
+
+def test_money_keeps_digits_below_a_cent(spark):
+    from martlake.functions import money_sum
+    df = spark.createDataFrame([(0.004,), (0.004,), (1.005,), (None,)], "x double")
+    assert df.agg(money_sum("x").alias("s")).first()["s"] == 1.013
+
+
+def test_strip_removes_what_python_strips(spark):
+    from martlake.functions import strip
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    df = spark.createDataFrame([(c + " a" + c + "b " + c,) for c in spaces], "t string")
+    got = {r["t"]: r["s"] for r in df.select("t", strip("t").alias("s")).collect()}
+    assert len(got) == len(spaces) and all(s == t.strip() for t, s in got.items())
+
+
+def test_zip_without_a_code_is_no_zip(spark):
+    from martlake.plans.marts import geolocation_by_zip
+    df = spark.createDataFrame([(1, -20.0, -40.0, "a", "S"), (1, -22.0, None, "b", None), (1, -23.0, -42.0, "b", "S"),
+                                (None, 0.0, 0.0, "c", "T"), (2, None, None, None, None)],
+                               "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double, "
+                               "geolocation_city string, geolocation_state string")
+    got = sorted(tuple(r) for r in geolocation_by_zip(df).collect())
+    assert got == [(1, -22.0, -41.0, "b", "S"), (2, None, None, None, None)]
+
+
+def test_global_rank_puts_null_keys_last(spark):
+    from martlake.operators.ranking import global_rank
+    df = spark.createDataFrame([("a", 9.0), ("b", None), ("c", 10.0), ("d", None)], "id string, v double")
+    for up, want in ((False, "cabd"), (True, "acbd")):
+        got = global_rank(df, "v", ascending=up, tiebreak=["id"], buckets=4).orderBy("rank").collect()
+        assert "".join(r["id"] for r in got) == want and [r["rank"] for r in got] == [1, 2, 3, 4]
+
+
+def test_bootstrap_needs_resamples_with_both_groups(spark):
+    import warnings
+    import pytest
+    from martlake.operators.bootstrap import _check_resamples
+    with pytest.raises(ValueError, match="resamples"):
+        _check_resamples(0, 10)
+    with pytest.warns(UserWarning, match="left out"):
+        _check_resamples(90, 100)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        _check_resamples(96, 100)

@@ -6,7 +6,8 @@ import tempfile
 
 import pytest
 
-from martlake.plans.pipeline import collect_metrics, current_gold, load_gold_marts, run_pipeline
+from martlake.plans.pipeline import (
+    _publish, build_gold, collect_metrics, current_gold, load_gold_marts, register_views, run_pipeline)
 from martlake.sources import contracts as K
 
 ROWS = {
@@ -117,7 +118,7 @@ def test_mart_loader_errors_and_metrics(spark, tmp):
     spark.createDataFrame([], "category string, revenue double, avg_review_score double").write.parquet(
         f"{run_dir}/mart_category_performance")
     spark.createDataFrame([], "seller_id string, revenue double").write.parquet(f"{run_dir}/mart_seller_performance")
-    spark.createDataFrame([(run_dir,)], "run_dir string").write.json(f"{gold_dir}/_CURRENT")
+    _publish(spark, gold_dir, run_dir)
     with pytest.raises(ValueError, match="empty"):
         load_gold_marts(spark, gold_dir)
 
@@ -129,8 +130,88 @@ def test_mart_loader_errors_and_metrics(spark, tmp):
         f"{run2}/mart_category_performance")
     spark.createDataFrame([("seller-1", 250.0)], "seller_id string, revenue double").write.parquet(
         f"{run2}/mart_seller_performance")
-    spark.createDataFrame([(run2,)], "run_dir string").write.mode("overwrite").json(f"{gold_dir}/_CURRENT")
+    _publish(spark, gold_dir, run2)
     m = {(r["metric"], r["position"]): r for r in collect_metrics(spark, gold_dir).collect()}
     assert m[("revenue", 0)]["value"] == 250.0
     assert m[("top_category_revenue", 1)]["label"] == "toys"
     assert m[("seller_top10_share", 0)]["value"] == 1.0
+
+
+def _changed(table_file, row=1, **cells):
+    rows = dict(ROWS)
+    head, values = ROWS[table_file][0], list(ROWS[table_file][row])
+    for name, value in cells.items():
+        values[list(head).index(name)] = value
+    rows[table_file] = [head, tuple(values)]
+    return rows
+
+
+def test_failed_run_leaves_the_published_gold(spark, tmp):
+    data = os.path.join(tmp, "data")
+    run_pipeline(spark, write_source(tmp), data, run_id="r1")
+    gold = os.path.join(data, "gold")
+    published = current_gold(spark, gold)
+    with pytest.raises(FileExistsError):
+        build_gold(spark, f"{data}/silver", gold, run_id="r1")
+    items = spark.read.parquet(f"{data}/silver/order_items")
+    broken = os.path.join(tmp, "broken")
+    for table in K.EXPECTED_COLUMNS:
+        spark.read.parquet(f"{data}/silver/{table}").write.parquet(f"{broken}/{table}")
+    items.write.mode("append").parquet(f"{broken}/order_items")
+    with pytest.raises(ValueError, match="contract"):
+        build_gold(spark, broken, gold, run_id="r2")
+    assert current_gold(spark, gold) == published and os.listdir(os.path.join(gold, "runs")) == ["r1"]
+    assert spark.read.parquet(f"{published}/fact_order_items").count() == 1
+    build_gold(spark, f"{data}/silver", gold, run_id="r3")
+    assert current_gold(spark, gold).endswith("r3") and len(os.listdir(os.path.join(gold, "_published"))) >= 2
+
+
+def test_extra_relation_in_a_run_is_refused(spark, tmp):
+    from martlake.plans.pipeline import check_gold, read_layer
+    from martlake.sources.bindings import RetailSources
+    data = os.path.join(tmp, "data")
+    run_pipeline(spark, write_source(tmp), data, run_id="r1")
+    silver = RetailSources(**read_layer(spark, f"{data}/silver"))
+    spark.range(1).write.parquet(f"{data}/gold/runs/r1/another")
+    with pytest.raises(ValueError, match="six"):
+        check_gold(spark, silver, f"{data}/gold/runs/r1")
+
+
+def test_views_over_the_published_gold(spark, tmp):
+    data = os.path.join(tmp, "data")
+    run_pipeline(spark, write_source(tmp), data)
+    assert set(register_views(spark, f"{data}/gold")) == set(K.GOLD_TABLES)
+    assert spark.sql("SELECT sum(revenue) AS r FROM mart_monthly_sales").first()["r"] == 100.0
+
+
+def test_bronze_is_the_source_and_tokens_go_at_typing(spark, tmp):
+    rows = _changed("olist_products_dataset.csv", product_category_name="NA")
+    data = os.path.join(tmp, "data")
+    run_pipeline(spark, write_source(tmp, rows), data)
+    assert spark.read.parquet(f"{data}/bronze/products").first()["product_category_name"] == "NA"
+    silver = spark.read.parquet(f"{data}/silver/products").first()
+    assert (silver["product_category_name"], silver["is_category_missing"]) == ("unknown", True)
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark, tmp):
+    import datetime as dt
+    from martlake.sources.csv_source import read_sources, typed_sources
+    rows = _changed("olist_orders_dataset.csv", order_purchase_timestamp="2017-10-15 00:00:00")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = typed_sources(read_sources(spark, write_source(tmp, rows))).orders.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got["order_purchase_timestamp"] == dt.datetime(2017, 10, 15)
+
+
+def test_fractions_are_kept_or_refused_never_cut(spark, tmp):
+    from martlake.plans.quality import quality_report
+    from martlake.sources.csv_source import read_sources, typed_sources
+    rows = _changed("olist_order_reviews_dataset.csv", review_score="5.9")
+    rows["olist_order_items_dataset.csv"] = _changed("olist_order_items_dataset.csv", order_item_id="1.5")["olist_order_items_dataset.csv"]
+    typed = typed_sources(read_sources(spark, write_source(tmp, rows)), parse_dates=False)
+    assert typed.order_reviews.first()["review_score"] == 5.9 and typed.order_items.first()["order_item_id"] is None
+    report = {r["check"]: r for r in quality_report(spark, typed).collect()}
+    assert not report["review_score between 1 and 5"]["passed"]
