@@ -79,7 +79,7 @@ class Transducer:
     makes the pending bytes one token names it, and when the register (the last token emitted)
     doesn't agree with it, the state of just that register takes over until it emits."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000, max_pairs: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pairs: int = 400_000):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         self.id_bytes = [b""] * len(self.bytes_of)
@@ -248,7 +248,7 @@ class Transducer:
 class PieceMemo(dict):
     """Encodings of pretokens met before; bounded, and long pieces are not kept."""
 
-    def __init__(self, transducer: Transducer, limit: int = 250_000, longest: int = 48):
+    def __init__(self, transducer: Transducer, limit: int = 450_000, longest: int = 48):
         super().__init__()
         self.transducer, self.limit, self.longest = transducer, limit, longest
 
