@@ -9,13 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.functions import money_sum
-from martlake.operators.quantiles import quantiles
+from martlake.operators.quantiles import grouped_quantiles, quantiles
 
 
-def upper_fence(df: DataFrame, col: str, factor: float = 3.0) -> Column:
-    """Scalar subquery: Q3 + factor * (Q3 - Q1), exact quartiles with interpolation."""
-    q = quantiles(df, col, [0.25, 0.75], ["q1", "q3"])
-    return q.select((F.col("q3") + F.lit(factor) * (F.col("q3") - F.col("q1"))).alias("u")).scalar()
+def upper_fences(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> dict[str, Column]:
+    """Per column a scalar subquery: Q3 + factor * (Q3 - Q1), exact quartiles with interpolation.
+
+    One quantile pass over the unpivoted columns serves them all.
+    """
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("which"), F.col(c).cast("double").alias("at")) for i, c in enumerate(cols)])).alias("x"))
+    q = grouped_quantiles(long.select("x.*"), ["which"], "at", [0.25, 0.75], ["q1", "q3"])
+    row = q.agg(*[F.max(F.when(F.col("which") == i, F.col("q3") + F.lit(factor) * (F.col("q3") - F.col("q1")))).alias(f"u{i}")
+                  for i in range(len(cols))])
+    return {c: row.select(f"u{i}").scalar() for i, c in enumerate(cols)}
 
 
 def extreme_flags(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> tuple[dict, dict, Column]:
@@ -24,7 +31,7 @@ def extreme_flags(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> tu
     A null value is never extreme.  The fences are one-row subqueries, so the
     detail rows are never joined or shuffled to apply them.
     """
-    fences = {c: upper_fence(df, c, factor) for c in cols}
+    fences = upper_fences(df, cols, factor)
     flags = {c: F.coalesce(F.col(c) > fences[c], F.lit(False)) for c in cols}
     any_flag = reduce(lambda a, b: a | b, flags.values())
     return fences, flags, any_flag

@@ -269,7 +269,7 @@ REPORT_SQL = _report_sql()
 def q_quality_report(spark, sf_dir):
     """§2.9: the 35 checks (schema, keys, dates, domain, references, ranges, outliers,
     coordinates, reconciliation, multi-review), one row each."""
-    return Q.quality_report(spark, bind_sources(spark, sf_dir))
+    return Q.quality_report(spark, bind_sources(spark, sf_dir)).select("check_id", "check", "severity", "passed", "observed")
 
 
 @query("quality_gate_summary", f"""

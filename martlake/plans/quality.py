@@ -1,11 +1,15 @@
 """The 35-check data-quality report and its severity gate.
 
 Checks run on the landed (bronze) relations, independent of silver.  Work is
-grouped by table: one aggregate pass per table computes all of that table's
-metrics, key checks are one grouped aggregate each, references one anti join
-each, reconciliation one full outer join.  Each check becomes one row
-``(check_id, check, severity, passed, observed)``; ``observed`` is the numeric
-evidence (violating rows or a rate).
+grouped by grain, not by check: one plan over the order key serves the key,
+reference, date, domain, range, reconciliation and multi-review checks of the
+four order-keyed tables, and each of the other tables is aggregated once.  The
+one-row results are turned into check rows with ``inline``, so Spark can't
+prune them apart into a scan per check.
+
+A row is ``(check_id, check, severity, passed, observed, expectation,
+evidence)``: ``observed`` is the number the check is decided by (violating
+rows or a rate), ``evidence`` a JSON object that names what failed.
 
 If any schema check fails the report holds only the nine schema checks
 (the short circuit is a driver-side decision on plan metadata, no job runs).
@@ -13,29 +17,22 @@ If any schema check fails the report holds only the nine schema checks
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from martlake.functions import null_safe_bool
-from martlake.operators.keys import key_profile, orphans, schema_failures
+from martlake.functions import money, null_safe_bool
+from martlake.operators.keys import key_profile, schema_failures
 from martlake.operators.outliers import extreme_flags
-from martlake.operators.reconcile import payment_reconciliation
 from martlake.sources import contracts as K
 from martlake.sources.bindings import RetailSources
 from martlake.sources.csv_source import timestamp
 
-REPORT_SCHEMA = "check_id int, check string, severity string, passed boolean, observed double"
-
-
-def _row(frame: DataFrame, check_id: int, name: str, passed: Column, observed: Column,
-         severity: str = "critical") -> DataFrame:
-    return frame.select(F.lit(check_id).alias("check_id"), F.lit(name).alias("check"),
-                        F.lit(severity).alias("severity"),
-                        F.coalesce(passed, F.lit(False)).alias("passed"),
-                        observed.cast("double").alias("observed"))
+REPORT_SCHEMA = ("check_id int, check string, severity string, passed boolean, observed double, "
+                 "expectation string, evidence string")
 
 
 def parse_ts(col: str, dtype) -> Column:
@@ -51,116 +48,196 @@ def schema_checks(spark: SparkSession, bronze: dict[str, DataFrame]) -> tuple[Da
     for i, t in enumerate(K.EXPECTED_COLUMNS, start=1):
         missing, unexpected = diffs[t]
         bad = len(missing) + len(unexpected)
-        rows.append((i, f"schema {t}", "critical", bad == 0, float(bad)))
-    ok = all(r[3] for r in rows)
-    return spark.createDataFrame(rows, REPORT_SCHEMA), ok
+        rows.append((i, f"schema {t}", "critical", bad == 0, float(bad), "exactly the declared columns",
+                     json.dumps({"missing": missing, "unexpected": unexpected})))
+    return spark.createDataFrame(rows, REPORT_SCHEMA), all(r[3] for r in rows)
 
 
-def quality_report(spark: SparkSession, bronze_sources: RetailSources) -> DataFrame:
-    bronze = bronze_sources.as_dict()
-    schema_df, schema_ok = schema_checks(spark, bronze)
-    if not schema_ok:
-        return schema_df
+def _check(check_id: int, name: str, passed: Column, observed, expectation: str, severity: str = "critical",
+           **evidence) -> Column:
+    facts = F.struct(*[F.col(v).alias(k) if isinstance(v, str) else v.alias(k) for k, v in evidence.items()])
+    number = F.col(observed) if isinstance(observed, str) else observed
+    return F.struct(F.lit(check_id).alias("check_id"), F.lit(name).alias("check"), F.lit(severity).alias("severity"),
+                    F.coalesce(passed, F.lit(False)).alias("passed"), number.cast("double").alias("observed"),
+                    F.lit(expectation).alias("expectation"),
+                    F.to_json(facts, {"ignoreNullFields": "false"}).alias("evidence"))
+
+
+def _rows(frame: DataFrame, *checks: Column) -> DataFrame:
+    """One row a check from a one-row frame."""
+    return frame.select(F.inline(F.array(*checks)))
 
-    rows: list[DataFrame] = [schema_df]
-    cid = len(K.EXPECTED_COLUMNS)
 
-    # 10-16: key contracts
-    for name, table, keys in K.KEY_CONTRACTS:
-        cid += 1
-        kp = key_profile(bronze[table], list(keys))
-        rows.append(_row(kp, cid, f"{name} unique and filled",
-                         (F.col("duplicates") == 0) & (F.col("null_keys") == 0),
-                         F.col("duplicates") + F.col("null_keys")))
+def _key_check(check_id: int, name: str, duplicates="duplicates", null_keys="null_keys") -> Column:
+    return _check(check_id, f"{name} unique and filled", (F.col(duplicates) == 0) & (F.col(null_keys) == 0),
+                  F.col(duplicates) + F.col(null_keys), "no duplicate and no null key",
+                  duplicates=duplicates, null_keys=null_keys)
 
-    # 17-19 and 28-30: one pass over orders
-    o = bronze["orders"]
+
+def order_metrics(b: dict[str, DataFrame]) -> DataFrame:
+    """Everything that can be counted over the order key, as one row.
+
+    The rows of orders (o), items (i), payments (p) and reviews (r) are counted per
+    (order, table, second key), then per order, then in total: two exchanges, with partial
+    sums on the map side, for all checks of the four tables.
+    """
+    o = b["orders"]
     dtypes = {f.name: f.dataType for f in o.schema.fields}
-    parsed = {c: parse_ts(c, dtypes[c]) for c in K.ORDER_DATE_COLUMNS}
-    purchase, approved = parsed["order_purchase_timestamp"], parsed["order_approved_at"]
-    delivered_at = parsed["order_delivered_customer_date"]
-    is_delivered = F.col("order_status") == "delivered"
-    failures = reduce(lambda a, b: a + b, [
-        F.count_if(F.col(c).isNotNull() & parsed[c].isNull()) for c in K.ORDER_DATE_COLUMNS])
-    oa = o.agg(
-        F.count_if(F.col("customer_id").isNull()).alias("null_customer"),
-        failures.alias("parse_failures"),
-        F.count_if(~null_safe_bool(F.col("order_status").isin(*K.VALID_STATUS))).alias("bad_status"),
-        F.count_if(approved.isNotNull() & (approved < purchase)).alias("approval_before"),
-        F.count_if(approved.isNotNull() & ~null_safe_bool(approved >= purchase)).alias("approval_fail"),
-        F.count_if(null_safe_bool(is_delivered) & delivered_at.isNotNull() & (delivered_at < purchase)).alias("delivery_before"),
-        F.count_if(null_safe_bool(is_delivered) & delivered_at.isNotNull() & ~null_safe_bool(delivered_at >= purchase)).alias("delivery_fail"),
-        F.avg(F.when(is_delivered, delivered_at.isNull().cast("int"))).alias("delivered_missing_rate"))
-    cid += 1
-    rows.append(_row(oa, cid, "orders.customer_id filled", F.col("null_customer") == 0, F.col("null_customer")))
-    cid += 1
-    rows.append(_row(oa, cid, "order dates parseable", F.col("parse_failures") == 0, F.col("parse_failures")))
-    cid += 1
-    rows.append(_row(oa, cid, "status inside domain", F.col("bad_status") == 0, F.col("bad_status")))
-
-    # 20-25: references
-    for name, child, ccol, parent, pcol in K.FOREIGN_KEYS:
-        cid += 1
-        orf = orphans(bronze[child], ccol, bronze[parent], pcol)
-        rows.append(_row(orf, cid, name, F.col("orphans") == 0, F.col("orphans")))
-
-    # 26: price / freight non negative
-    it = bronze["order_items"]
-    ia = it.agg(F.count_if((F.col("price") < 0) | (F.col("freight_value") < 0)).alias("negative"),
-                F.count_if(~null_safe_bool((F.col("price") >= 0) & (F.col("freight_value") >= 0))).alias("fail"))
-    cid += 1
-    rows.append(_row(ia, cid, "price and freight non negative", F.col("fail") == 0, F.col("negative")))
-
-    # 27: review score range (null counts as outside)
-    ra = bronze["order_reviews"].agg(
-        F.count_if(~null_safe_bool(F.col("review_score").between(1, 5))).alias("outside"))
-    cid += 1
-    rows.append(_row(ra, cid, "review_score between 1 and 5", F.col("outside") == 0, F.col("outside")))
-
-    cid += 1
-    rows.append(_row(oa, cid, "approval after purchase", F.col("approval_fail") == 0, F.col("approval_before")))
-    cid += 1
-    rows.append(_row(oa, cid, "delivery after purchase", F.col("delivery_fail") == 0, F.col("delivery_before")))
-    cid += 1
-    rows.append(_row(oa, cid, "delivered order has delivery date",
-                     (1 - F.col("delivered_missing_rate")) > K.DELIVERED_DATE_FILLED_MIN,
-                     F.col("delivered_missing_rate"), "warning"))
-
-    # 31: missing category (raw, before the silver fill)
-    pa = bronze["products"].agg(F.avg(F.col("product_category_name").isNull().cast("int")).alias("rate"))
-    cid += 1
-    rows.append(_row(pa, cid, "missing category monitored", F.col("rate") < K.MISSING_CATEGORY_MAX,
-                     F.col("rate"), "warning"))
-
-    # 32: extreme price / freight rows
-    _, _, any_flag = extreme_flags(it, ["price", "freight_value"], K.TUKEY_FACTOR)
-    xa = it.agg(F.avg(any_flag.cast("int")).alias("rate"))
-    cid += 1
-    rows.append(_row(xa, cid, "extreme price/freight monitored", F.col("rate") < K.EXTREME_ROW_RATE_MAX,
-                     F.col("rate"), "warning"))
-
-    # 33: coordinates inside the box (null counts as outside)
-    g = bronze["geolocation"]
+    at = {c: parse_ts(c, dtypes[c]) for c in K.ORDER_DATE_COLUMNS}
+    bought, approved = at["order_purchase_timestamp"], at["order_approved_at"]
+    arrived, delivered = at["order_delivered_customer_date"], null_safe_bool(F.col("order_status") == "delivered")
+    bad_status = ~null_safe_bool(F.col("order_status").isin(*K.VALID_STATUS))
+    flags = {
+        "o": {"null_customer": F.col("customer_id").isNull(), "bad_status": bad_status,
+              "approval_before": approved < bought, "delivery_before": delivered & (arrived < bought),
+              "approval_fail": approved.isNotNull() & ~null_safe_bool(approved >= bought),
+              "delivery_fail": delivered & arrived.isNotNull() & ~null_safe_bool(arrived >= bought),
+              "delivered": delivered, "undated": delivered & arrived.isNull(),
+              **{f"unparsed_{c}": F.col(c).isNotNull() & at[c].isNull() for c in K.ORDER_DATE_COLUMNS}},
+        "i": {"negative": (F.col("price") < 0) | (F.col("freight_value") < 0),
+              "not_positive": ~null_safe_bool((F.col("price") >= 0) & (F.col("freight_value") >= 0))},
+        "p": {}, "r": {"outside": ~null_safe_bool(F.col("review_score").between(1, 5))}}
+    tables = {"o": (o, None), "i": (b["order_items"], "order_item_id"), "p": (b["order_payments"], "payment_sequential"),
+              "r": (b["order_reviews"], "review_id")}
+    amounts = {"i": ("price", "freight_value"), "p": ("payment_value",)}
+    every_flag = [n for own in flags.values() for n in own]
+    every_amount = [n for own in amounts.values() for n in own]
+
+    def part(kind: str) -> DataFrame:
+        df, second = tables[kind]
+        sub = F.col(second).cast("string") if second else F.lit(None).cast("string")
+        return df.select(
+            "order_id", F.lit(kind).alias("kind"), sub.alias("sub"),
+            *[(F.coalesce(flags[kind][n].cast("long"), F.lit(0)) if n in flags[kind] else F.lit(0).cast("long")).alias(n)
+              for n in every_flag],
+            *[(money(n) if n in amounts.get(kind, ()) else F.lit(None).cast("decimal(28,10)")).alias(n) for n in every_amount],
+            (F.when(bad_status, F.col("order_status")) if kind == "o" else F.lit(None).cast("string")).alias("status"))
+
+    per_key = (reduce(DataFrame.unionAll, [part(k) for k in tables]).groupBy("order_id", "kind", "sub")
+               .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in every_flag + every_amount],
+                    F.min("status").alias("status")))
+    of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0))
+    per_order = per_key.groupBy("order_id").agg(
+        *[of(k, F.col("n")).alias(k) for k in tables],
+        *[of(k, F.col("n") - 1).alias(f"twice_{k}") for k in tables],
+        *[of(k, F.when(F.col("sub").isNull(), F.col("n")).otherwise(0)).alias(f"unnamed_{k}") for k in ("i", "p")],
+        of("r", F.col("sub").isNotNull().cast("long")).alias("reviews"),
+        *[F.sum(c).alias(c) for c in every_flag],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in every_amount], F.min("status").alias("status"))
+    known, nowhere = F.col("order_id").isNotNull(), F.col("order_id").isNull()
+    gap = F.abs(F.col("payment_value") - F.col("price") - F.col("freight_value"))
+    both = known & (F.col("p") > 0) & (F.col("i") > 0)
+    total = per_order.agg(
+        *[F.sum(f"twice_{k}").alias(f"twice_{k}") for k in tables],
+        F.sum(F.when(nowhere, F.col("o")).otherwise(0)).alias("null_o"),
+        *[F.sum(F.when(nowhere, F.col(k)).otherwise(F.col(f"unnamed_{k}"))).alias(f"null_{k}") for k in ("i", "p")],
+        *[F.sum(F.when(F.col("o") == 0, F.col(k)).otherwise(0)).alias(f"orphan_{k}") for k in ("i", "p", "r")],
+        *[F.sum(c).alias(c) for c in every_flag], F.min("status").alias("status"),
+        F.count_if(both).alias("comparable"),
+        F.count_if(both & (gap > F.lit(K.RECONCILE_TOLERANCE))).alias("mismatches"),
+        F.count_if(known & (F.col("i") > 0) & (F.col("p") == 0)).alias("only_items"),
+        F.count_if(known & (F.col("p") > 0) & (F.col("i") == 0)).alias("only_payments"),
+        F.count_if(known & (F.col("r") > 0)).alias("reviewed"),
+        F.count_if(known & (F.col("reviews") > 1)).alias("multi_reviewed"))
+    counted = [c for c in total.columns if c != "status"]
+    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+    return (total.select(*[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counted], "status")
+            .withColumn("undated_rate", share("undated", "delivered"))
+            .withColumn("mismatch_rate", F.coalesce(share("mismatches", "comparable"), F.lit(0.0)))
+            .withColumn("multi_rate", share("multi_reviewed", "reviewed")))
+
+
+def item_orphans(b: dict[str, DataFrame]) -> DataFrame:
+    """Items whose product or seller is unknown, both by one scan of the items: the values are
+    counted per (reference, value) first and only these meet the parents."""
+    pairs = b["order_items"].select(F.explode(F.array(
+        F.struct(F.lit("product_id").alias("ref"), F.col("product_id").cast("string").alias("v")),
+        F.struct(F.lit("seller_id").alias("ref"), F.col("seller_id").cast("string").alias("v")))).alias("x")).select("x.*")
+    parents = (b["products"].select(F.lit("product_id").alias("ref"), F.col("product_id").cast("string").alias("v"))
+               .union(b["sellers"].select(F.lit("seller_id").alias("ref"), F.col("seller_id").cast("string").alias("v"))))
+    met = (pairs.withColumn("child", F.lit(1).cast("long")).withColumn("parent", F.lit(0).cast("long"))
+           .union(parents.withColumn("child", F.lit(0).cast("long")).withColumn("parent", F.lit(1).cast("long")))
+           .groupBy("ref", "v").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent")))
+    lost = F.when(F.col("parent") == 0, F.col("child")).otherwise(0)
+    return met.agg(*[F.coalesce(F.sum(F.when(F.col("ref") == r, lost)), F.lit(0)).alias(f"orphan_{r}") for r in ("product_id", "seller_id")],
+                   *[F.min(F.when((F.col("ref") == r) & (F.col("parent") == 0), F.col("v"))).alias(f"example_{r}")
+                     for r in ("product_id", "seller_id")])
+
+
+def customer_metrics(b: dict[str, DataFrame]) -> DataFrame:
+    """Customer key and the orders' reference to it, over one grouping by customer."""
+    rows = (b["customers"].select("customer_id", F.lit(1).cast("long").alias("c"), F.lit(0).cast("long").alias("o"))
+            .union(b["orders"].select("customer_id", F.lit(0).cast("long"), F.lit(1).cast("long"))))
+    per = rows.groupBy("customer_id").agg(F.sum("c").alias("c"), F.sum("o").alias("o"))
+    zero = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    return per.agg(zero(F.greatest(F.col("c") - 1, F.lit(0))).alias("duplicates"),
+                   zero(F.when(F.col("customer_id").isNull(), F.col("c"))).alias("null_keys"),
+                   zero(F.when(F.col("c") == 0, F.col("o"))).alias("orphans"))
+
+
+def quality_report(spark: SparkSession, bronze_sources: RetailSources) -> DataFrame:
+    b = bronze_sources.as_dict()
+    schema_df, schema_ok = schema_checks(spark, b)
+    if not schema_ok:
+        return schema_df
+    first_key = len(K.EXPECTED_COLUMNS) + 1
+    key_id = {name: first_key + i for i, (name, _, _) in enumerate(K.KEY_CONTRACTS)}
+    ref_id = {name: first_key + len(K.KEY_CONTRACTS) + 3 + i for i, (name, *_) in enumerate(K.FOREIGN_KEYS)}
+    n = first_key + len(K.KEY_CONTRACTS)                    # 17
+    after = n + 3 + len(K.FOREIGN_KEYS)                     # 26
+
+    def ref(name: str, col: str, **more) -> Column:
+        return _check(ref_id[name], name, F.col(col) == 0, col, "every value exists in the parent", orphans=col, **more)
+
+    unparsed = [f"unparsed_{c}" for c in K.ORDER_DATE_COLUMNS]
+    all_unparsed = reduce(lambda x, y: x + y, map(F.col, unparsed))
+    by_order = _rows(
+        order_metrics(b),
+        _key_check(key_id["orders.order_id"], "orders.order_id", "twice_o", "null_o"),
+        _key_check(key_id["items.order_id+item_id"], "items.order_id+item_id", "twice_i", "null_i"),
+        _key_check(key_id["payments.order_id+sequence"], "payments.order_id+sequence", "twice_p", "null_p"),
+        _check(n, "orders.customer_id filled", F.col("null_customer") == 0, "null_customer", "no null", nulls="null_customer"),
+        _check(n + 1, "order dates parseable", all_unparsed == 0, all_unparsed, "every filled date is a timestamp",
+               **{c: f"unparsed_{c}" for c in K.ORDER_DATE_COLUMNS}),
+        _check(n + 2, "status inside domain", F.col("bad_status") == 0, "bad_status", f"one of {', '.join(K.VALID_STATUS)}",
+               rows="bad_status", example="status"),
+        ref("FK items -> orders", "orphan_i"), ref("FK payments -> orders", "orphan_p"), ref("FK reviews -> orders", "orphan_r"),
+        _check(after, "price and freight non negative", F.col("not_positive") == 0, "negative", "price and freight >= 0",
+               negative="negative", negative_or_null="not_positive"),
+        _check(after + 1, "review_score between 1 and 5", F.col("outside") == 0, "outside", "1 <= review_score <= 5", rows="outside"),
+        _check(after + 2, "approval after purchase", F.col("approval_fail") == 0, "approval_before", "approval >= purchase",
+               before="approval_before", before_or_unknown="approval_fail"),
+        _check(after + 3, "delivery after purchase", F.col("delivery_fail") == 0, "delivery_before", "delivery >= purchase",
+               before="delivery_before", before_or_unknown="delivery_fail"),
+        _check(after + 4, "delivered order has delivery date", (1 - F.col("undated_rate")) > K.DELIVERED_DATE_FILLED_MIN,
+               "undated_rate", f"share filled > {K.DELIVERED_DATE_FILLED_MIN}", "warning", delivered="delivered", undated="undated"),
+        _check(after + 8, "payments reconcile items + freight",
+               (F.col("mismatch_rate") < K.RECONCILE_MISMATCH_MAX) & (F.col("only_items") == 0), "mismatch_rate",
+               f"mismatch rate < {K.RECONCILE_MISMATCH_MAX} and no order without payment", "warning", mismatches="mismatches",
+               comparable="comparable", only_items="only_items", only_payments="only_payments"),
+        _check(after + 9, "multiple reviews per order monitored", F.col("multi_rate") < K.MULTI_REVIEW_MAX, "multi_rate",
+               f"rate < {K.MULTI_REVIEW_MAX}", "warning", reviewed="reviewed", several="multi_reviewed"))
+    by_customer = _rows(customer_metrics(b), _key_check(key_id["customers.customer_id"], "customers.customer_id"),
+                        ref("FK orders -> customers", "orphans"))
+    by_item_ref = _rows(item_orphans(b), ref("FK items -> products", "orphan_product_id", example="example_product_id"),
+                        ref("FK items -> sellers", "orphan_seller_id", example="example_seller_id"))
+    small = [_rows(key_profile(b[table], list(keys)), _key_check(key_id[name], name)) for name, table, keys in K.KEY_CONTRACTS
+             if table in ("products", "sellers", "product_category_name_translation")]
+
+    share = lambda cond: F.avg(cond.cast("int")).alias("rate")
+    category = _rows(b["products"].agg(share(F.col("product_category_name").isNull())), _check(
+        after + 5, "missing category monitored", F.col("rate") < K.MISSING_CATEGORY_MAX, "rate",
+        f"share missing < {K.MISSING_CATEGORY_MAX}", "warning", missing_share="rate"))
+    _, _, extreme = extreme_flags(b["order_items"], ["price", "freight_value"], K.TUKEY_FACTOR)
+    extremes = _rows(b["order_items"].agg(share(extreme)), _check(
+        after + 6, "extreme price/freight monitored", F.col("rate") < K.EXTREME_ROW_RATE_MAX, "rate",
+        f"share of extreme rows < {K.EXTREME_ROW_RATE_MAX}", "warning", extreme_share="rate"))
     inside = (null_safe_bool(F.col("geolocation_lat").between(*K.LAT_RANGE))
               & null_safe_bool(F.col("geolocation_lng").between(*K.LNG_RANGE)))
-    ga = g.agg(F.count_if(~inside).alias("outside"))
-    cid += 1
-    rows.append(_row(ga, cid, "coordinates in plausible range", F.col("outside") == 0, F.col("outside"), "warning"))
-
-    # 34: reconciliation
-    rc = payment_reconciliation(bronze["order_payments"], it, K.RECONCILE_TOLERANCE)
-    cid += 1
-    rows.append(_row(rc, cid, "payments reconcile items + freight",
-                     (F.col("mismatch_rate") < K.RECONCILE_MISMATCH_MAX) & (F.col("only_items") == 0),
-                     F.col("mismatch_rate"), "warning"))
-
-    # 35: multi-review rate
-    mr = multi_review_rate(bronze["order_reviews"])
-    cid += 1
-    rows.append(_row(mr, cid, "multiple reviews per order monitored",
-                     F.col("multi_review_rate") < K.MULTI_REVIEW_MAX, F.col("multi_review_rate"), "warning"))
-
-    return reduce(DataFrame.unionByName, rows)
+    box = _rows(b["geolocation"].agg(F.count_if(~inside).alias("outside")), _check(
+        after + 7, "coordinates in plausible range", F.col("outside") == 0, "outside",
+        f"latitude in {K.LAT_RANGE}, longitude in {K.LNG_RANGE}", "warning", rows="outside"))
+    return reduce(DataFrame.unionByName, [schema_df, by_order, by_customer, by_item_ref, *small, category, extremes, box])
 
 
 def multi_review_rate(reviews: DataFrame) -> DataFrame:

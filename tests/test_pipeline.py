@@ -1,6 +1,7 @@
 """End-to-end and negative runs on the nine-CSV mini source (one delivered, reconciled order)."""
 
 import csv
+import json
 import os
 import tempfile
 
@@ -83,7 +84,9 @@ def test_missing_column_returns_only_schema_checks(spark, tmp):
     report = quality_report(spark, typed_sources(read_sources(spark, write_source(tmp, rows)), parse_dates=False))
     got = report.collect()
     assert len(got) == 9
-    assert [r["check"] for r in got if not r["passed"]] == ["schema sellers"]
+    bad = [r for r in got if not r["passed"]]
+    assert [r["check"] for r in bad] == ["schema sellers"]
+    assert json.loads(bad[0]["evidence"]) == {"missing": ["seller_state"], "unexpected": []}
 
 
 def test_quality_negatives(spark, tmp):
@@ -103,7 +106,12 @@ def test_quality_negatives(spark, tmp):
     p[1] = "NA"
     rows["olist_products_dataset.csv"] = [ROWS["olist_products_dataset.csv"][0], tuple(p)]
     report = quality_report(spark, typed_sources(read_sources(spark, write_source(tmp, rows)), parse_dates=False))
-    failed = {r["check"] for r in report.collect() if not r["passed"]}
+    rows = {r["check"]: r for r in report.collect()}
+    failed = {c for c, r in rows.items() if not r["passed"]}
+    assert json.loads(rows["order dates parseable"]["evidence"])["order_approved_at"] == 1
+    assert json.loads(rows["status inside domain"]["evidence"]) == {"rows": 1, "example": "lost"}
+    assert json.loads(rows["FK items -> sellers"]["evidence"]) == {"orphans": 1, "example": "seller-x"}
+    assert all(r["expectation"] for r in rows.values())
     assert {"order dates parseable", "status inside domain", "FK items -> sellers",
             "price and freight non negative", "review_score between 1 and 5",
             "missing category monitored"} <= failed
