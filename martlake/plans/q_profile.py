@@ -12,6 +12,7 @@ from martlake.plans.oracle import STRIP, with_ctes
 from martlake.plans.q_quality import BRONZE_CTE
 from martlake.sources import contracts as K
 from martlake.sources.bindings import bind_sources
+from martlake.sources.csv_source import timestamp
 from martlake.sources.silver import fill_category
 
 DESCRIBE_PROBS = (0.5, 0.9, 0.95, 0.99, 0.999)
@@ -134,54 +135,78 @@ def q_zip_ambiguity(spark, sf_dir):
     return PO.zip_ambiguity(bind_sources(spark, sf_dir).geolocation, K.LAT_RANGE, K.LNG_RANGE)
 
 
+# The bound dates are typed and clean.  Text is made of them so that some can't be parsed: by the
+# order key a word, a date that doesn't exist, an empty text, or the date with a fraction of a second.
+def _date_text_sql(c: str) -> str:
+    return (f"CASE WHEN order_id % 13 = 0 THEN 'not a date' WHEN order_id % 17 = 0 THEN '1998-02-30 10:00:00' "
+            f"WHEN order_id % 19 = 0 THEN '' WHEN order_id % 23 = 0 THEN strftime({c}, '%Y-%m-%d %H:%M:%S') || '.250' "
+            f"ELSE strftime({c}, '%Y-%m-%d %H:%M:%S') END")
+
+
+def _date_text(c: str):
+    k, text = F.col("order_id"), F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
+    return (F.when(k % 13 == 0, "not a date").when(k % 17 == 0, "1998-02-30 10:00:00").when(k % 19 == 0, "")
+            .when(k % 23 == 0, F.concat(text, F.lit(".250"))).otherwise(text))
+
+
+def _per_column(df, cols, **measures):
+    """One pass: each measure (a function of the column name) of each column, then a row a column."""
+    one = df.agg(*[m(c).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, m in measures.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in measures])
+                                         for i, c in enumerate(cols)])))
+
+
 @query("date_parse_failures", with_ctes(["r_orders"], "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, "
-    f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL) AS parse_failures FROM r_orders"
-    for c in K.ORDER_DATE_COLUMNS)))
+    f"SELECT '{c}' AS column_name, COUNT(t) AS non_null, COUNT(*) FILTER (WHERE t IS NOT NULL AND TRY_CAST(t AS TIMESTAMP) IS NULL) "
+    f"AS parse_failures FROM (SELECT {_date_text_sql(c)} AS t FROM r_orders)" for c in K.ORDER_DATE_COLUMNS)))
 def q_date_parse_failures(spark, sf_dir):
     """Per order date column, filled values that do not parse as timestamps."""
-    from martlake.plans.quality import parse_ts
-    o = bind_sources(spark, sf_dir).orders
-    dtypes = {f.name: f.dataType for f in o.schema.fields}
-    return PO.union_all([o.agg(F.lit(c).alias("column_name"), F.count(c).alias("non_null"),
-                               F.count_if(F.col(c).isNotNull() & parse_ts(c, dtypes[c]).isNull()).alias("parse_failures"))
-                         for c in K.ORDER_DATE_COLUMNS])
+    text = bind_sources(spark, sf_dir).orders.select(*[_date_text(c).alias(c) for c in K.ORDER_DATE_COLUMNS])
+    return _per_column(text, K.ORDER_DATE_COLUMNS, non_null=F.count,
+                       parse_failures=lambda c: F.count_if(F.col(c).isNotNull() & timestamp(F.col(c)).isNull()))
 
 
 @query("coerce_timestamps", with_ctes(["r_orders"], "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, COUNT(t) AS text_values, COUNT(TRY_STRPTIME(t, '%Y-%m-%d %H:%M:%S')) AS parsed, "
-    f"COUNT(*) FILTER (WHERE TRY_STRPTIME(t, '%Y-%m-%d %H:%M:%S') = {c}) AS round_trip_equal "
-    f"FROM (SELECT {c}, strftime({c}, '%Y-%m-%d %H:%M:%S') AS t FROM r_orders)"
-    for c in K.ORDER_DATE_COLUMNS)))
+    f"SELECT '{c}' AS column_name, COUNT(t) AS text_values, COUNT(TRY_CAST(t AS TIMESTAMP)) AS parsed, "
+    f"COUNT(*) FILTER (WHERE TRY_CAST(t AS TIMESTAMP) = {c}) AS round_trip_equal "
+    f"FROM (SELECT {c}, {_date_text_sql(c)} AS t FROM r_orders)" for c in K.ORDER_DATE_COLUMNS)))
 def q_coerce_timestamps(spark, sf_dir):
-    """Order dates rendered as text and coerced back (bad text would become null)."""
+    """Order dates as text, coerced by the pipeline's own rule (bad text becomes null)."""
     o = bind_sources(spark, sf_dir).orders
-    frames = []
-    for c in K.ORDER_DATE_COLUMNS:
-        t = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
-        parsed = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-        frames.append(o.agg(F.lit(c).alias("column_name"), F.count(t).alias("text_values"),
-                            F.count(parsed).alias("parsed"),
-                            F.count_if(parsed == F.col(c)).alias("round_trip_equal")))
-    return PO.union_all(frames)
+    both = o.select(*[_date_text(c).alias(c) for c in K.ORDER_DATE_COLUMNS], *[F.col(c).alias(f"was_{c}") for c in K.ORDER_DATE_COLUMNS])
+    return _per_column(both, K.ORDER_DATE_COLUMNS, text_values=F.count, parsed=lambda c: F.count(timestamp(F.col(c))),
+                       round_trip_equal=lambda c: F.count_if(timestamp(F.col(c)) == F.col(f"was_{c}")))
 
 
 _STRIP_TARGETS = (("customers", ("customer_city", "customer_state")),
                   ("sellers", ("seller_city", "seller_state")),
                   ("geolocation", ("geolocation_city", "geolocation_state")),
                   ("order_payments", ("payment_type",)))
+# The bound text has no outer white space: values of even length are padded on both sides.
+_PAD = (9, 160, 8195, 28, 32)
+
+
+def _padded_sql(c: str) -> str:
+    pad = " || ".join(f"chr({n})" for n in _PAD)
+    return f"CASE WHEN length({c}) % 2 = 0 THEN {pad} || {c} || {pad} ELSE {c} END"
+
+
+def _padded(c: str):
+    pad = F.lit("".join(map(chr, _PAD)))
+    return F.when(F.char_length(c) % 2 == 0, F.concat(pad, F.col(c), pad)).otherwise(F.col(c))
 
 
 @query("strip_strings", with_ctes(sorted({BRONZE_CTE[t] for t, _ in _STRIP_TARGETS}), "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT({c}) AS non_null, "
-    f"COUNT(*) FILTER (WHERE {STRIP.format(c=c)} <> {c}) AS changed FROM {BRONZE_CTE[t]}"
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(x) AS non_null, COUNT(*) FILTER (WHERE {STRIP.format(c='x')} <> x) AS changed, "
+    f"COUNT(*) FILTER (WHERE {STRIP.format(c='x')} = y) AS restored FROM (SELECT {_padded_sql(c)} AS x, {c} AS y FROM {BRONZE_CTE[t]})"
     for t, cols in _STRIP_TARGETS for c in cols)))
 def q_strip_strings(spark, sf_dir):
-    """Values changed by whitespace stripping, per string column."""
+    """Padded values that stripping changes, and those it brings back, per string column."""
     b = bind_sources(spark, sf_dir).as_dict()
-    return PO.union_all([b[t].agg(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                  F.count(c).alias("non_null"), F.count_if(strip(c) != F.col(c)).alias("changed"))
-                         for t, cols in _STRIP_TARGETS for c in cols])
+    return PO.union_all([_per_column(
+        b[t], cols, non_null=lambda c: F.count(_padded(c)), changed=lambda c: F.count_if(strip(_padded(c)) != _padded(c)),
+        restored=lambda c: F.count_if(strip(_padded(c)) == F.col(c))).select(F.lit(t).alias("table_name"), "*")
+        for t, cols in _STRIP_TARGETS])
 
 
 @query("category_missing_fill", with_ctes(["s_products"], """

@@ -13,6 +13,7 @@ from martlake.operators import reconcile as RO
 from martlake.plans import quality as Q
 from martlake.plans.catalog import query
 from martlake.plans.oracle import with_ctes
+from martlake.session import materialize
 from martlake.sources import contracts as K
 from martlake.sources.bindings import bind_sources
 
@@ -34,8 +35,8 @@ def _key_sql(table: str, keys) -> str:
             f"FROM (SELECT {cols}, COUNT(*) AS n FROM {BRONZE_CTE[table]} GROUP BY {cols})")
 
 
-def _orphan_sql(child, ccol, parent, pcol) -> str:
-    return (f"SELECT COUNT(*) AS orphans FROM {BRONZE_CTE[child]} c WHERE NOT EXISTS "
+def _orphan_sql(child, ccol, parent, pcol, rows=None) -> str:
+    return (f"SELECT COUNT(*) AS orphans FROM {rows or BRONZE_CTE[child]} c WHERE NOT EXISTS "
             f"(SELECT 1 FROM {BRONZE_CTE[parent]} p WHERE p.{pcol} IS NOT DISTINCT FROM c.{ccol})")
 
 
@@ -100,18 +101,33 @@ def q_key_contracts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- references
+# The bound tables have no orphans.  So that the check is seen to find some, every child value
+# divisible by STRAY_STEP is moved out of the parent's range, and one divisible by STRAY_NULL is null.
+STRAY_STEP, STRAY_BY, STRAY_NULL = 101, 1_000_000_000_000, 307
+
+
+def _stray_sql(child, col):
+    return (f"(SELECT CASE WHEN {col} % {STRAY_NULL} = 0 THEN NULL WHEN {col} % {STRAY_STEP} = 0 THEN {col} + {STRAY_BY} "
+            f"ELSE {col} END AS {col} FROM {BRONZE_CTE[child]})")
+
+
 def _fk_sql():
-    parts = [f"SELECT '{name}' AS \"check\", orphans, orphans = 0 AS passed FROM ({_orphan_sql(c, cc, p, pc)})"
-             for name, c, cc, p, pc in K.FOREIGN_KEYS]
+    parts = [f"SELECT '{name}' AS \"check\", orphans, orphans = 0 AS passed "
+             f"FROM ({_orphan_sql(c, cc, p, pc, _stray_sql(c, cc))})" for name, c, cc, p, pc in K.FOREIGN_KEYS]
     needs = sorted({BRONZE_CTE[t] for _, c, _, p, _ in K.FOREIGN_KEYS for t in (c, p)})
     return with_ctes(needs, "\nUNION ALL\n".join(parts))
 
 
 @query("fk_orphans", _fk_sql())
 def q_fk_orphans(spark, sf_dir):
-    """Orphan child rows for the six references (null-safe anti joins)."""
+    """Orphan child rows for the six references (null-safe anti joins), with strays planted."""
     b = bind_sources(spark, sf_dir).as_dict()
-    frames = [KO.orphans(b[c], cc, b[p], pc).select(
+
+    def strays(table, col):
+        k = F.col(col).cast("long")
+        return b[table].select(F.when(k % STRAY_NULL == 0, None).when(k % STRAY_STEP == 0, k + STRAY_BY).otherwise(k).alias(col))
+
+    frames = [KO.orphans(strays(c, cc), cc, b[p], pc).select(
         F.lit(name).alias("check"), "orphans", (F.col("orphans") == 0).alias("passed"))
         for name, c, cc, p, pc in K.FOREIGN_KEYS]
     return reduce(DataFrame.unionByName, frames)
@@ -182,16 +198,22 @@ def q_multi_review_rate(spark, sf_dir):
 
 # ---------------------------------------------------------------- schema
 def _schema_sql():
-    # The bound relations carry the full contract; column names are metadata,
-    # so the oracle lists them as literals (0 missing, 0 unexpected).
-    rows = ", ".join(f"('{t}', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true)" for t in K.EXPECTED_COLUMNS)
-    return f"SELECT * FROM (VALUES {rows}) AS t(\"table\", missing, unexpected, passed)"
+    return with_ctes(sorted(set(BRONZE_CTE.values())), "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", CAST({1 if t == 'sellers' else 0} AS BIGINT) AS missing, "
+        f"CAST({1 if t == 'customers' else 0} AS BIGINT) AS unexpected, {'false' if t in ('sellers', 'customers') else 'true'} AS passed, "
+        f"COUNT(*) AS rows FROM {BRONZE_CTE[t]}" for t in K.EXPECTED_COLUMNS))
 
 
 @query("schema_contracts", _schema_sql())
 def q_schema_contracts(spark, sf_dir):
-    """Column-set equality per table (missing / unexpected names)."""
-    return KO.schema_diff(spark, bind_sources(spark, sf_dir).as_dict(), K.EXPECTED_COLUMNS)
+    """Column-set equality per table as written and read back, with the rows read; one table
+    is written without a column and one with another, so both kinds of failure show."""
+    tables = bind_sources(spark, sf_dir).as_dict()
+    tables["sellers"] = tables["sellers"].drop("seller_state")
+    tables["customers"] = tables["customers"].withColumn("loyalty", F.lit(1))
+    tables = {t: materialize(df) for t, df in tables.items()}
+    counts = reduce(DataFrame.unionByName, [df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows")) for t, df in tables.items()])
+    return KO.schema_diff(spark, tables, K.EXPECTED_COLUMNS).join(counts, "table")
 
 
 # ---------------------------------------------------------------- 35-check report

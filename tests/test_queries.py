@@ -5,10 +5,10 @@ import os
 
 import pytest
 
+from martlake.plans.catalog import load_all
+
 SF = "/root/testdata/sf0.001"
-KEYS = ["fact_orders", "mart_monthly_sales", "mart_customer_value", "mart_seller_performance",
-        "quality_report", "payment_reconciliation", "geolocation_by_zip", "late_vs_ontime",
-        "seller_gini", "category_profile", "describe_percentiles", "bootstrap_naive_diff"]
+KEYS = sorted(load_all())
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 
