@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _G = "__qgroup"
+SALTS = 16
 
 
 def _bucket_of(value: str, bounds: str):
@@ -34,15 +35,17 @@ def _bucket_of(value: str, bounds: str):
 
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       probs: Sequence[float], names: Sequence[str] | str | None = None,
-                      buckets: int = 64) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """One row per group with at least one non-null value; one column per prob.
 
-    ``group_cols`` may be empty for a single global row.
+    ``group_cols`` may be empty for a single global row.  ``buckets`` is by default
+    the session's shuffle partitions (64 at least), which the user sizes to the input.
     """
     if isinstance(names, str):
         names = [names]
     names = list(names) if names else [f"q{int(round(p * 1000)):03d}" for p in probs]
     groups = list(group_cols) or [_G]
+    buckets = buckets or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     v = df.select(*(group_cols or [F.lit(0).alias(_G)]), F.col(value_col).cast("double").alias("v"))
     v = v.filter(F.col("v").isNotNull())
 
@@ -54,7 +57,15 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     if not group_cols:
         # One global row of stats: a proven one-row broadcast.
         stats = F.broadcast(stats)
-    hb = hist.join(stats, groups).withColumn("bucket", _bucket_of("v", "bounds")).drop("bounds")
+    if group_cols:
+        # A hot group's distinct values meet its bounds in SALTS tasks, not one: the bounds (one
+        # bounded row a group) are repeated for each salt.
+        salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")
+        stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hb = hist.withColumn("salt", salt).join(stats, [*groups, "salt"]).drop("salt")
+    else:
+        hb = hist.join(stats, groups)
+    hb = hb.withColumn("bucket", _bucket_of("v", "bounds")).drop("bounds")
 
     in_bucket = Window.partitionBy(*groups, "bucket").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -90,6 +101,6 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-              names: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+              names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Global exact quantiles as a one-row DataFrame."""
     return grouped_quantiles(df, [], value_col, probs, names, buckets)

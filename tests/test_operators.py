@@ -200,3 +200,27 @@ def test_bootstrap_needs_resamples_with_both_groups(spark):
     with warnings.catch_warnings():
         warnings.simplefilter("error")
         _check_resamples(96, 100)
+
+
+def test_hot_group_of_quantiles_is_spread(spark):
+    """Broadcast off and two thirds of the rows in one group: nothing but the sketch, which is
+    combined on the map side, is dealt by the group alone."""
+    import re
+    from pyspark.sql import functions as F
+    from martlake.operators.quantiles import grouped_quantiles
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(60_000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 30).alias("g"), F.rand(1).alias("x"))
+        q = grouped_quantiles(rows, ["g"], "x", [0.5], "m")
+        got = {r["g"]: r["m"] for r in q.collect()}
+        plan = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+        joins = [i for i, line in enumerate(plan) if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+        assert joins and all(re.search(r"\[g#\d+L, (salt|bucket)#", plan[i]) for i in joins)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = {r["g"]: r["m"] for r in rows.groupBy("g").agg(F.percentile("x", 0.5).alias("m")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-12 for g in want)
