@@ -9,32 +9,56 @@ binding is a lazy DataFrame: column pruning and filters reach the Parquet scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+# Schemas of tables read before in this process: reading one again starts no job to infer it.
+_schemas: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-@dataclass
 class RetailSources:
-    """The nine canonical source relations (typed, silver-ready)."""
-
-    customers: DataFrame
-    geolocation: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    orders: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    product_category_name_translation: DataFrame
+    """The nine canonical source relations (typed, silver-ready).
+
+    A relation is given as a DataFrame or as a function that makes it, which is called when
+    the relation is first used: a query binds only the tables it reads.
+    """
+
+    NAMES = ("customers", "geolocation", "order_items", "order_payments", "order_reviews", "orders", "products",
+             "sellers", "product_category_name_translation")
+
+    def __init__(self, **relations: DataFrame | Callable[[], DataFrame]):
+        odd = set(relations) ^ set(self.NAMES)
+        if odd:
+            raise TypeError(f"relations missing or unknown: {sorted(odd)}")
+        self._relations = relations
+
+    def __getattr__(self, name: str) -> DataFrame:
+        relations = self.__dict__.get("_relations", {})
+        if name not in relations:
+            raise AttributeError(name)
+        made = relations[name]
+        if not isinstance(made, DataFrame):
+            made = relations[name] = made()
+        return made
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in self.NAMES}
+
+    def map(self, change: Callable[[str, DataFrame], DataFrame]) -> RetailSources:
+        """Every relation changed, each when it is first used."""
+        return RetailSources(**{n: partial(lambda n: change(n, getattr(self, n)), n) for n in self.NAMES})
 
 
 def _hours(n):
@@ -169,14 +193,7 @@ def bind_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bind_sources(spark: SparkSession, sf_dir: str) -> RetailSources:
     """All nine canonical relations over the driver tables in ``sf_dir``."""
-    return RetailSources(
-        customers=bind_customers(spark, sf_dir),
-        geolocation=bind_geolocation(spark, sf_dir),
-        order_items=bind_items(spark, sf_dir),
-        order_payments=bind_payments(spark, sf_dir),
-        order_reviews=bind_reviews(spark, sf_dir),
-        orders=bind_orders(spark, sf_dir),
-        products=bind_products(spark, sf_dir),
-        sellers=bind_sellers(spark, sf_dir),
-        product_category_name_translation=bind_translation(spark, sf_dir),
-    )
+    binds = {"customers": bind_customers, "geolocation": bind_geolocation, "order_items": bind_items,
+             "order_payments": bind_payments, "order_reviews": bind_reviews, "orders": bind_orders,
+             "products": bind_products, "sellers": bind_sellers, "product_category_name_translation": bind_translation}
+    return RetailSources(**{name: partial(bind, spark, sf_dir) for name, bind in binds.items()})

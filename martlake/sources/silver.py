@@ -38,6 +38,8 @@ def fill_category(products: DataFrame) -> DataFrame:
 
 
 def to_silver(src: RetailSources) -> RetailSources:
-    tables = {name: strip_strings(df) for name, df in src.as_dict().items()}
-    tables["products"] = fill_category(tables["products"])
-    return RetailSources(**tables)
+    def clean(name: str, df: DataFrame) -> DataFrame:
+        stripped = strip_strings(df)
+        return fill_category(stripped) if name == "products" else stripped
+
+    return src.map(clean)
