@@ -25,7 +25,11 @@ SELECT COUNT(*) AS n, {msum('revenue')} AS total FROM mart_seller_performance"""
 def _sellers(spark, sf_dir) -> DataFrame:
     # The seller mart is read by the rank bounds, the totals and the ranking:
     # compute it once (as the published gold table would be).
-    return materialize(marts.mart_seller_performance(facts.fact_order_items(silver(spark, sf_dir))))
+    return materialize(_mart(spark, sf_dir))
+
+
+def _mart(spark, sf_dir):
+    return marts.mart_seller_performance(facts.fact_order_items(silver(spark, sf_dir)))
 
 
 @query("seller_lorenz", with_ctes(["seller_ranked", "seller_totals"], """
@@ -66,7 +70,7 @@ SELECT COUNT(*) AS sellers,
 FROM mart_seller_performance WHERE orders >= 30 AND late_rate IS NOT NULL"""))
 def q_seller_weighted_late(spark, sf_dir):
     """Revenue-weighted late rate of sellers with at least 30 orders."""
-    return C.seller_weighted_late(_sellers(spark, sf_dir), 30)
+    return C.seller_weighted_late(_mart(spark, sf_dir), 30)
 
 
 @query("seller_risk_top", with_ctes(["mart_seller_performance"], """
@@ -74,7 +78,7 @@ SELECT seller_id, orders, revenue, avg_review_score, late_rate FROM mart_seller_
 WHERE orders >= 30 AND late_rate IS NOT NULL ORDER BY revenue DESC, seller_id LIMIT 10"""))
 def q_seller_risk_top(spark, sf_dir):
     """Ten largest sellers among those with at least 30 orders."""
-    return C.seller_risk_top(_sellers(spark, sf_dir), 30, 10)
+    return C.seller_risk_top(_mart(spark, sf_dir), 30, 10)
 
 
 # ------------------------------------------------------------------ executive payload
@@ -85,25 +89,27 @@ def executive_metrics(monthly: DataFrame, categories: DataFrame, sellers: DataFr
     period = monthly.agg(F.min("order_month").cast("string").alias("a"),
                          F.max("order_month").cast("string").alias("b"),
                          money_sum("revenue").alias("r"))
-    rows = [
-        period.select(F.lit("period_start").alias("metric"), F.lit(0).cast("bigint").alias("position"),
-                      F.col("a").alias("label"), F.lit(None).cast("double").alias("value")),
-        period.select(F.lit("period_end"), F.lit(0).cast("bigint"), F.col("b"), F.lit(None).cast("double")),
-        period.select(F.lit("revenue"), F.lit(0).cast("bigint"), F.lit(None).cast("string"), F.col("r")),
-    ]
+    fact = lambda metric, position, label, value: F.struct(
+        F.lit(metric).alias("metric"), position.cast("bigint").alias("position"), label.cast("string").alias("label"),
+        value.cast("double").alias("value"))
+    none, zero = F.lit(None), F.lit(0)
+    # each mart is aggregated once and its one row (or its top rows) turned into metric rows
+    rows = [period.select(F.inline(F.array(fact("period_start", zero, F.col("a"), none), fact("period_end", zero, F.col("b"), none),
+                                           fact("revenue", zero, none, F.col("r")))))]
     # Top-k report over the (small) category mart: at most k rows reach the window.
     top = categories.orderBy(F.col("revenue").desc(), F.col("category")).limit(top_k)
-    pos = F.row_number().over(Window.orderBy(F.col("revenue").desc(), F.col("category"))).cast("bigint")
+    pos = F.row_number().over(Window.orderBy(F.col("revenue").desc(), F.col("category")))
     top = top.select("category", "revenue", "avg_review_score", pos.alias("position"))
-    rows.append(top.select(F.lit("top_category_revenue"), "position", "category", "revenue"))
-    rows.append(top.select(F.lit("top_category_review"), "position", "category", "avg_review_score"))
+    rows.append(top.select(F.inline(F.array(
+        fact("top_category_revenue", F.col("position"), F.col("category"), F.col("revenue")),
+        fact("top_category_review", F.col("position"), F.col("category"), F.col("avg_review_score"))))))
     n = sellers.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     k = F.greatest(F.lit(1).cast("bigint"), F.ceil(n * F.lit(seller_fraction)))
     ranked = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False, tiebreak=["seller_id"])
     share = ranked.agg(money_sum("revenue").alias("t"),
                        money_sum(F.when(F.col("rank") <= k, F.col("revenue"))).alias("top"))
-    rows.append(share.select(F.lit("seller_top10_share"), F.lit(0).cast("bigint"), F.lit(None).cast("string"),
-                             F.when(F.col("t") > 0, F.col("top") / F.col("t")).otherwise(F.lit(0.0))))
+    rows.append(share.select(F.inline(F.array(fact(
+        "seller_top10_share", zero, none, F.when(F.col("t") > 0, F.col("top") / F.col("t")).otherwise(F.lit(0.0)))))))
     out = rows[0]
     for r in rows[1:]:
         out = out.union(r)
