@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
     bpe, decontam, langid, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
-from martlake.llm._common import crc_bucket, documents, held_out, labelled_sample
+from martlake.llm._common import crc_bucket, documents, held_out, labelled_sample, staged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TRAIN_ROWS = 12_000   # bound of the labelled rows a classifier is fitted on
@@ -45,6 +45,8 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_blob = secret_scan.by_blob(findings).select(
         "blob", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("found")).alias("spans"))
+    # written apart from the join: a blob of many paths is then split or broadcast
+    per_blob = staged(per_blob, "secret-blobs")
     paths = docs.select("doc_id", secret_scan.content_address(F.col("text")).alias("blob"))
     return paths.join(per_blob, "blob", "left").select(
         "doc_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_assign", "n_access", "n_hex")],
