@@ -445,8 +445,10 @@ def remove_repeats(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col
     # the texts are dealt out once; Spark reuses this exchange for steps 1, 3 and 5
     dealt = base.select(part, "doc_id", "ord", "digest", "text").repartition(n, "part")
     marks = base.select(part, "ord", "digest", F.sha2("text", 256).alias("sha"))
-    twice = marks.groupBy("sha").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter("high > low")
-    copies = staged(marks.join(twice.select("sha", "low"), "sha").filter("ord > low").select("part", "ord", "digest").distinct(), "repeat-copies")
+    # written apart from the join: a text that a third of the documents share is then split or broadcast
+    twice = staged(marks.groupBy("sha").agg(F.min("ord").alias("low"), F.max("ord").alias("high"))
+                   .filter("high > low").select("sha", "low"), "repeat-twice")
+    copies = staged(marks.join(twice, "sha").filter("ord > low").select("part", "ord", "digest").distinct(), "repeat-copies")
     none = F.lit(None).cast("binary")
     copies = copies.select("part", F.lit(0).alias("kind"), F.lit(0).alias("bucket"), "ord", "digest", none.alias("a"), none.alias("b"))
 
