@@ -8,12 +8,16 @@ import pytest
 from martlake.plans.catalog import load_all
 
 SF = "/root/testdata/sf0.001"
+# Compared to the last bit; the other keys to 12 digits, as quantile_cont interpolates in another order.
+EXACT = {"fact_orders", "mart_monthly_sales", "mart_customer_value", "mart_seller_performance",
+         "quality_report", "payment_reconciliation", "geolocation_by_zip", "late_vs_ontime",
+         "seller_gini", "category_profile", "describe_percentiles", "bootstrap_naive_diff"}
 KEYS = sorted(load_all())
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 
 
-def _norm(v):
+def _norm(v, exact=True):
     import pandas as pd
     if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return ""
@@ -22,15 +26,15 @@ def _norm(v):
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, (int, float)):
-        return repr(float(v))
+        return repr(float(v)) if exact else f"{float(v):.12g}"
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return str(v)
 
 
-def _rows(pdf):
+def _rows(pdf, exact):
     cols = sorted(pdf.columns)
-    return cols, sorted(tuple(_norm(x) for x in r) for r in pdf[cols].itertuples(index=False, name=None))
+    return cols, sorted(tuple(_norm(x, exact) for x in r) for r in pdf[cols].itertuples(index=False, name=None))
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +51,7 @@ def test_query_matches_oracle(spark, duck, key):
     import __spark_entry__ as entry
     got = entry.queries()[key](spark, SF).toPandas()
     want = duck.execute(entry.oracle_sql()[key]).df()
-    assert _rows(got) == _rows(want)
+    assert _rows(got, key in EXACT) == _rows(want, key in EXACT)
 
 
 def test_every_key_has_a_builder_and_entry_runs(spark):
