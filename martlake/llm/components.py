@@ -37,11 +37,12 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(max_rounds):
         nxt = staged(_small_star(_large_star(e)), "cc-step")
-        # a fixed point is a forest of stars: no centre hangs below another node
-        if nxt.join(nxt.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
-            e = nxt
-            break
+        # a fixed point is a forest of stars: no centre hangs below another node, and every
+        # node has one centre (a node of two centres still joins their stars)
+        hung = nxt.join(nxt.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
         e = nxt
+        if hung.isEmpty() and nxt.groupBy("a").count().filter("count > 1").isEmpty():
+            break
     else:
         raise RuntimeError("components did not converge")
     stars = e.groupBy("a").agg(F.min("b").alias("component"))

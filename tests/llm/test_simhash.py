@@ -100,6 +100,12 @@ def test_components_of_a_chain(spark):
     assert components(spark.createDataFrame([(1, 1), (None, 2), (4, 3), (3, 4)], "a long, b long")).count() == 2
 
 
+def test_components_of_a_zigzag(spark):
+    """After one round node 5 hangs below 1 and 2, though neither of them hangs below another."""
+    edges = spark.createDataFrame([(1, 10), (10, 5), (5, 11), (11, 2)], "a long, b long")
+    assert {tuple(r) for r in components(edges).collect()} == {(i, 1) for i in (1, 2, 5, 10, 11)}
+
+
 def test_query_against_brute_force(spark, table_dir):
     rng = random.Random(8)
     base = [[rng.choice(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta"]) for _ in range(60)] for _ in range(6)]
