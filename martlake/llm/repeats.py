@@ -12,8 +12,8 @@ parts, and five steps follow, each a grouped map over a part or a bucket of anch
 2. a bucket of anchors finds those held by two documents or more, and those with more
    segments than one task should hold (hot ones), and tells the parts concerned;
 3. a part sends the distinct segments of repeated anchors, each with its smallest doc_id.
-   A hot anchor's windows are first divided by the place of the anchor in them, and sent
-   by the longer stretch that such windows surely share, so only truly equal text meets;
+   A hot anchor's windows are sent one by one, each by the hash of the whole window, so
+   only truly equal text meets;
 4. a bucket of segments hands the distinct ones to the operator's string index, which
    gives each window the smallest doc_id of all documents that hold it;
 5. a part marks the windows whose smallest doc_id is below the document's own.
@@ -47,7 +47,7 @@ class Plan:
     key of each, place of the anchor in each)``, contents sorted by key, and giving for the first
     symbol of every window the smallest id that holds it; ``keep(bytes, byte starts, byte ends,
     mask)`` joins the symbols of a document that stay; ``hot`` is the number of segments above which an anchor is divided
-    into classes of ``stride`` places."""
+    into single windows."""
 
     window: int
     gram: int
@@ -55,7 +55,6 @@ class Plan:
     index: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     keep: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], bytes]
     hot: int = 4096
-    stride: int = 10
 
 
 @dataclass
@@ -103,24 +102,19 @@ def segments(sym: np.ndarray, off: np.ndarray, h: np.ndarray, plan: Plan) -> Seg
 
 
 def divide(seg: Segments, hot: np.ndarray, h: np.ndarray, plan: Plan) -> Segments:
-    """Segments of hot anchors cut into classes by the anchor's place in the window; the key of
-    a class is the hash of the stretch that all its windows at such a place share."""
+    """Segments of hot anchors cut into single windows, each under the hash of the whole window:
+    such a key has one content, and so one entry a part, however many documents hold it (a
+    shorter stretch would have as many contents as it has neighbours)."""
     is_hot = np.isin(seg.key, hot)
     if not is_hot.any():
         return seg
     cold, warm = seg.take(~is_hot), seg.take(is_hot)
-    # place of the anchor in the windows of a segment: at - start, from high (first) to low
-    top, bottom = (warm.at - warm.first) // plan.stride, (warm.at - warm.last) // plan.stride
-    count = top - bottom + 1
+    count = warm.last - warm.first + 1
     i = np.repeat(np.arange(len(count)), count)
-    cls = np.repeat(bottom, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    high = np.minimum((cls + 1) * plan.stride - 1, plan.window - plan.gram)
-    first = np.maximum(warm.first[i], warm.at[i] - high)
-    last = np.minimum(warm.last[i], warm.at[i] - cls * plan.stride)
-    # windows [at-high, at-low] all hold [at-low, at-high+window)
-    shared = span_hash(h, warm.at[i] - cls * plan.stride, warm.at[i] - high + plan.window)
-    key = shared ^ (cls.astype(np.uint64) + np.uint64(1))
-    both = [np.r_[getattr(cold, n), x] for n, x in (("first", first), ("last", last), ("at", warm.at[i]), ("key", key),
+    first = warm.first[i] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = warm.at[i]
+    key = span_hash(h, first, first + plan.window) ^ (at - first + 1).astype(np.uint64)
+    both = [np.r_[getattr(cold, n), x] for n, x in (("first", first), ("last", first), ("at", at), ("key", key),
                                                     ("doc", warm.doc[i]))]
     order = np.argsort(both[0], kind="stable")
     return Segments(*(x[order] for x in both))
@@ -207,7 +201,8 @@ _SIDE = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int
 
 
 def _step1(plan: Plan, buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
+                        ("more", pa.binary())])
 
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -228,15 +223,17 @@ def _step1(plan: Plan, buckets: int):
         fresh = np.zeros(len(key), dtype=np.int64)
         fresh[_runs(key, cont)] = 1
         shared = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
-        # low seven bits: distinct segments, at most 127; high bit: two documents hold it
-        counts = np.minimum(np.add.reduceat(fresh, first), 127).astype(np.uint8) | (shared.astype(np.uint8) << 7)
+        # low seven bits: distinct segments, 127 where the number is in ``more``; high bit: two documents hold it
+        many = np.add.reduceat(fresh, first)
+        counts = np.minimum(many, 127).astype(np.uint8) | (shared.astype(np.uint8) << 7)
         key = key[first]
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         cut = np.r_[_runs(bucket), len(bucket)]
         return pa.Table.from_pydict({
             "bucket": bucket[cut[:-1]], "part": [number] * (len(cut) - 1),
             "keys": [_to6(key[a:b]) for a, b in zip(cut, cut[1:])],
-            "counts": [counts[a:b].tobytes() for a, b in zip(cut, cut[1:])]}, schema=schema)
+            "counts": [counts[a:b].tobytes() for a, b in zip(cut, cut[1:])],
+            "more": [many[a:b][many[a:b] >= 127].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])]}, schema=schema)
 
     return run
 
@@ -247,12 +244,14 @@ def _step2(plan: Plan):
         part = np.repeat(t.column("part").to_numpy(), [len(b) // 6 for b in blobs])
         key = _from6(blobs)
         counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), dtype=np.uint8)
+        many = (counts & 127).astype(np.int64)
+        many[many == 127] = np.frombuffer(b"".join(t.column("more").to_pylist()), dtype="<u4")
         order = np.lexsort((part, key))
-        key, part, counts = key[order], part[order], counts[order]
+        key, part, counts, many = key[order], part[order], counts[order], many[order]
         first = _runs(key)
         held = np.diff(np.r_[first, len(key)])
         repeated = (held > 1) | (np.maximum.reduceat(counts, first) > 127)
-        hot = repeated & (np.add.reduceat((counts & 127).astype(np.int64), first) > plan.hot)
+        hot = repeated & (np.add.reduceat(many, first) > plan.hot)
         tell, is_hot = np.repeat(repeated, held), np.repeat(hot, held)
         key, part, is_hot = key[tell], part[tell], is_hot[tell]
         order = np.argsort(part, kind="stable")
@@ -455,7 +454,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col
     def over_parts(side: DataFrame, step, schema: str) -> DataFrame:
         return dealt.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(step, schema)
 
-    anchors = over_parts(copies, _step1(plan, n), "bucket int, part int, keys binary, counts binary")
+    anchors = over_parts(copies, _step1(plan, n), "bucket int, part int, keys binary, counts binary, more binary")
     told = copies.union(anchors.groupBy("bucket").applyInArrow(_step2(plan), SIDE))
     sent = over_parts(told, _step3(plan, n), "bucket int, part int, keys binary, lows binary, ats binary, lens binary, content binary")
     answers = sent.groupBy("bucket").applyInArrow(_step4(plan), SIDE)

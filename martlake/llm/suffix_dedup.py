@@ -101,7 +101,7 @@ def window_owners(sym: np.ndarray, off: np.ndarray, low: np.ndarray, key: np.nda
     return owner
 
 
-PLAN = Plan(WINDOW, GRAM, _bytes, window_owners, _keep, stride=STRIDE)
+PLAN = Plan(WINDOW, GRAM, _bytes, window_owners, _keep)
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,24 @@ def test_against_brute_force(spark, mod, hot, monkeypatch):
     assert sum(r["n_removed"] for r in got) > 500
 
 
+@pytest.mark.parametrize("mod", [suffix_dedup, substring_dedup])
+def test_hot_anchor_is_bounded(mod):
+    """A passage shorter than the window, with other neighbours in each of 400 documents: the
+    anchor is found hot from one part's count, and divided it has one content a key."""
+    rng = random.Random(6)
+    some = (lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))) if mod is suffix_dedup else (
+        lambda k: "".join(f" {rng.choice('abcdefgh')}{rng.randrange(99)}" for _ in range(k)))
+    passage = some(45)
+    docs = pa.table({"part": [0] * 400, "doc_id": list(range(400)), "ord": list(range(400)), "digest": list(range(400)),
+                     "text": [some(60) + passage + some(60) for _ in range(400)]})
+    none, plan = repeats._SIDE.empty_table(), replace(mod.PLAN, hot=200)
+    told = repeats._step2(plan)(repeats._step1(plan, 1)(docs, none))
+    assert sum(len(b) for b in told.column("b").to_pylist()) > 0
+    sent = repeats._step3(plan, 1)(docs, told)
+    key = np.frombuffer(b"".join(sent.column("keys").to_pylist()), dtype=np.uint64)
+    assert np.unique(key, return_counts=True)[1].max() <= plan.hot
+
+
 def test_queries_give_digests(spark, table_dir):
     docs = [(i, t, "en") for i, t in _corpus(9, 30) if i is not None]
     docs = list({d[0]: d for d in docs}.values())
