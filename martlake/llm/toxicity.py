@@ -64,10 +64,17 @@ def fold(text: str | None) -> str:
     return f" {' '.join(words)} " if words else " "
 
 
-def _gist(text: str | None) -> int:
-    """Smallest hash of two neighbouring words: near copies mostly agree in it."""
+# Odd multipliers: each orders the hashes of a text anew.
+_ORDERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 9)], dtype=np.uint64)
+
+
+def _gist(text: str | None) -> str:
+    """Smallest hashes of two neighbouring words under eight orders: near copies mostly agree
+    in all, unlike texts do not, however frequent a word pair is."""
     words = fold(text).split()
-    return min((zlib.crc32(f"{a} {b}".encode()) for a, b in zip(words, words[1:])), default=zlib.crc32(" ".join(words).encode()))
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} or {" ".join(words)}
+    crc = np.fromiter((zlib.crc32(p.encode()) for p in pairs), dtype=np.uint64, count=len(pairs))
+    return ((crc[:, None] + np.uint64(1)) * _ORDERS).min(axis=0).tobytes().hex()
 
 
 @dataclass(frozen=True)
@@ -120,9 +127,9 @@ def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", max
     bounds (``labelled_sample``)."""
     ship(sample.sparkSession)
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("string")
     def gist(texts: pd.Series) -> pd.Series:
-        return pd.Series([_gist(t) for t in texts], dtype="int64")
+        return pd.Series([_gist(t) for t in texts], dtype="object")
 
     # near copies count once: their words would look like evidence from many documents
     src = staged(sample.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"))

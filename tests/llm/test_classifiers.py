@@ -2,6 +2,7 @@
 
 import os
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,16 @@ def test_toxicity_folds_and_excepts():
     assert plain > 0.9 and start > 0.9 and no == excused == pytest.approx(0.018, abs=1e-3) and no < far < plain
 
 
+def test_gist_keeps_unlike_texts_apart():
+    """Forty unlike texts hold one pair of words whose hash is the smallest of all."""
+    low = min((f"pa{i} pb{i}" for i in range(20_000)), key=lambda p: zlib.crc32(toxicity.fold(p).strip().encode()))
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(6))
+    texts = [" ".join([word() for _ in range(30)] + [low] + [word() for _ in range(30)]) for _ in range(40)]
+    assert len({toxicity._gist(t) for t in texts}) == 40
+    assert toxicity._gist(texts[0].upper() + "!") == toxicity._gist(texts[0])
+
+
 def test_temperature_tames_an_overconfident_network():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 6)).astype(np.float32)
