@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from martlake.llm._common import fresh, ship, staged
@@ -156,7 +155,8 @@ def _holders(docs: DataFrame, bloom: np.ndarray, m: int) -> DataFrame:
     """Documents that may hold a seed: ``(doc_id, text, hits)``."""
     def run(batches):
         for b in batches:
-            low = pc.utf8_lower(b.column(1).fill_null(""))
+            # lower-cased as in word_ids: Arrow's function differs for some letters
+            low = pa.array([(t or "").lower() for t in b.column(1).to_pylist()], pa.string())
             rows, hits = [], []
             for lo, _, data, off in slabs(low):
                 word, _, doc = _word_hashes(data, off)

@@ -313,6 +313,15 @@ def test_decontamination_query(spark, table_dir):
     assert len(want) == 32 and {k % 5 for k, _ in want} == {0, 1}
 
 
+def test_decontamination_of_letters_with_special_lower_case(spark):
+    """Capital sigma at a word's end, capital I with dot: every seed holds one."""
+    texts = [" ".join(f"ΛΟΓΟΣ{i}Σ ΟΔΟΣ" for i in range(20)), " ".join(f"İ{i}a İx" for i in range(20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(i + 10, t) for i, t in enumerate(texts)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(0, 10), (1, 11)}
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (None, None), (2, "")], "item_id long, text string")
     assert decontam.contaminated(odd, bench).count() == 3
