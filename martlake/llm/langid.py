@@ -142,16 +142,17 @@ class LanguageModel:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_lang: int = 1_200, max_langs: int = 64) -> LanguageModel:
-    """Fit on about ``per_lang`` rows of each of the ``max_langs`` most frequent languages,
-    chosen by a hash of the id."""
+        per_lang: int = 1_200, max_rows: int = 76_800) -> LanguageModel:
+    """Fit on about ``per_lang`` rows of every language, chosen by a hash of the id; many
+    languages share ``max_rows`` rows, but none has fewer than about twenty."""
     ship(labelled.sparkSession)
     src = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
                           F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
-    counts = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    counts = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return LanguageModel((), (), {})
-    rate = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], int(1e6 * min(1, per_lang / r["count"])))])
+    share = min(per_lang, max(20, max_rows // len(counts)))
+    rate = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], max(1, int(1e6 * min(1, share / r["count"]))))])
     mark = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000))
     rows = staged(src.filter(mark < rate[F.col("lang")]).select("id", "text", "lang"), "langid-sample")
 

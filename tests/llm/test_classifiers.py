@@ -82,6 +82,13 @@ def test_gist_keeps_unlike_texts_apart():
     assert toxicity._gist(texts[0].upper() + "!") == toxicity._gist(texts[0])
 
 
+def test_more_languages_than_sixty_four(spark):
+    rows = [(100 * k + i, f"q{k}x{k}z " * 9 + f"t{i}", f"l{k:02}") for k in range(66) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert sorted(c for _, codes in model.families for c in codes) == sorted({r[2] for r in rows})
+
+
 def test_temperature_tames_an_overconfident_network():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 6)).astype(np.float32)
