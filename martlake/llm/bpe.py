@@ -197,7 +197,11 @@ class Transducer:
         return last
 
     def advance(self, s: State, byte: int) -> tuple[State, bytes, int, int]:
-        """Make the transition of a state on one byte."""
+        """Make the transition of a state on one byte.  A full table is dropped first, also in
+        the middle of a piece; the state goes on in the new one."""
+        if len(self.states) > self.max_states:
+            self.reset()
+            s = self._state(s.before, s.pending, s.last)
         u = s.pending + bytes((byte,))
         token, start = self._last(s.before, s.last, u)
         last, n = s.last + (token,), len(u)

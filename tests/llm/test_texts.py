@@ -110,6 +110,15 @@ def test_transducer_with_little_memory(reference):
     assert len(small.states) <= 40 + 120
 
 
+def test_long_piece_keeps_the_bound_of_states(monkeypatch):
+    small = bpe.Transducer(bpe.read_ranks(PATH), max_states=40)
+    piece = "".join(random.Random(3).choices("etaoinshrdlucmfwyp", k=3000)).encode()
+    made, most = bpe.Transducer._state, []
+    monkeypatch.setattr(bpe.Transducer, "_state", lambda self, *a: (made(self, *a), most.append(len(self.states)))[0])
+    ids = np.frombuffer(small.encode_piece(piece), dtype="<u4").tolist()
+    assert ids == bpe.merge(piece, small.ranks) and max(most) <= 45
+
+
 def test_transducer_on_own_merges():
     rng = random.Random(3)
     for _ in range(40):
