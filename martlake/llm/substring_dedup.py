@@ -1,10 +1,10 @@
 """Substring dedup of repeated word passages by prefix-partitioned suffix trees.
 
 Each word covered by a window of 50 words that also starts in a document with a smaller
-doc_id is removed.  ``repeats`` deals suffixes out by prefix: a suffix goes by the words of
-its anchor, and where these are too frequent for one task by a longer prefix.  In a task the
-suffixes are divided again by prefixes of variable length until a group fits
-``MEMORY`` suffixes; the subtree of a group branches level by level, reading as many further
+doc_id is removed.  ``repeats`` deals windows out by their anchor, a run of words inside the
+window, and where it is too frequent for one task by the whole window.  In a task the
+suffixes are divided by prefixes of variable length until a group fits ``MEMORY`` suffixes,
+which a block of ``repeats`` mostly does as it is; the subtree of a group branches level by level, reading as many further
 words at once as the group's remaining suffixes leave room for.  Suffixes that stand alone are
 leaves and drop out; internal nodes that reach the window's depth are the repeats, and their
 smallest doc_id owns the windows below them.
