@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
-    bpe, decontam, langid, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
+    bpe, decontam, langid, lexical, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
 from martlake.llm._common import crc_bucket, documents, held_out, labelled_sample, staged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -98,6 +98,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+')"
+
+SEARCH_SQL = f"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS t FROM documents),
+    size AS (SELECT r, any_value(doc_id) AS doc_id, any_value(CAST(len(t) AS BIGINT)) AS n FROM d GROUP BY r),
+    total AS (SELECT count(*) FILTER (n > 0) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size),
+    wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+           WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+          FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+    impact AS (SELECT r, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // length)) AS i
+               FROM tf JOIN size USING (r), total),
+    scores AS (SELECT item_id, doc_id, r, CAST(sum(times * w * i) AS BIGINT) AS score
+               FROM wanted JOIN w USING (term) JOIN impact USING (term) JOIN size USING (r) GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+    QUALIFY rank <= 10"""
+
+
 def _secret_sql() -> str:
     """DuckDB form of op3: matches and the pieces between them, by list functions."""
     def one(i: int, r: secret_scan.Rule) -> str:
@@ -131,5 +156,5 @@ def _secret_sql() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op5_suffix_array, op6_decontamination, op7_substring, op8_bpe, op9_simhash,
-                                   op10_toxicity)}
-SQL: dict[str, str] = {"op3_secrets": _secret_sql()}
+                                   op10_toxicity, op13_search)}
+SQL: dict[str, str] = {"op3_secrets": _secret_sql(), "op13_search": SEARCH_SQL}
