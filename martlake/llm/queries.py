@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlake.llm import (
-    bpe, decontam, langid, lexical, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
+    bpe, collocation, decontam, exact_dedup, langid, lexical, quality, secret_scan, simhash, substring_dedup, suffix_dedup, toxicity, winnow)
 from martlake.llm._common import crc_bucket, documents, held_out, labelled_sample, staged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -98,11 +98,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    return collocation.collocations(documents(spark, sf_dir, "lang", "text"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies of every document, by a stream over the table's files."""
+    return exact_dedup.dedup_table(spark, f"{sf_dir}/documents.parquet")
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
+EXACT_SQL = """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS content
+               FROM documents),
+    g AS (SELECT content, count(*) AS group_size, arg_min(doc_id, (-length(text), doc_id)) AS keep_id FROM t GROUP BY content)
+    SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
+    FROM t JOIN g USING (content)"""
+
+
+COLLOCATION_SQL = """
+    WITH t AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+               regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
+    p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+    grams AS (SELECT lang, m, w[i:i + m - 1] AS g
+              FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS m))),
+    f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY ALL),
+    total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+    c AS (SELECT lang, m, g, f AS a, n FROM f JOIN total USING (lang) WHERE f >= 100 AND m > 1),
+    cuts AS (SELECT c.lang, c.m, c.g, c.a, c.n, k, x.f AS l, y.f AS r,
+                    (CAST(1000 AS HUGEINT) * c.a * c.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+             FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+             JOIN f x ON x.lang = c.lang AND x.g = c.g[:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+    scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    inner_parts AS (SELECT lang, a, g[i:j] AS g FROM (SELECT lang, m, a, g, unnest(range(1, m + 1)) AS i FROM c),
+                    (SELECT unnest(range(2, 5)) AS size), LATERAL (SELECT i + size - 1 AS j) WHERE j <= m AND size < m),
+    longer AS (SELECT lang, g, max(a) AS most FROM inner_parts GROUP BY ALL),
+    kept AS (SELECT s.lang, array_to_string(s.g, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+             FROM scored s LEFT JOIN longer USING (lang, g) WHERE most IS NULL OR 100 * most < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= 2000"""
+
+
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+')"
 
 SEARCH_SQL = f"""
@@ -156,5 +198,5 @@ def _secret_sql() -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_secrets, op4_winnowing, op5_suffix_array, op6_decontamination, op7_substring, op8_bpe, op9_simhash,
-                                   op10_toxicity, op13_search)}
-SQL: dict[str, str] = {"op3_secrets": _secret_sql(), "op13_search": SEARCH_SQL}
+                                   op10_toxicity, op11_collocations, op12_exact, op13_search)}
+SQL: dict[str, str] = {"op3_secrets": _secret_sql(), "op11_collocations": COLLOCATION_SQL, "op12_exact": EXACT_SQL, "op13_search": SEARCH_SQL}
