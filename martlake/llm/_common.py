@@ -32,13 +32,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the folder in ``spark.checkpoint.dir`` and read it back: cuts
-    lineage, keeps statistics, and survives a lost executor."""
+    lineage, keeps statistics, and survives a lost executor.  ``options`` are the writer's."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -13,15 +13,15 @@ The frontier is a Spark table in order of the bound (the rarest first word first
 1. takes the best part of the frontier whose size is bounded (``NODES`` trie nodes,
    ``NODE_BYTES`` of phrases, and ``SHARE`` of the corpus' occurrences) to the driver and compiles it
    to a trie, which is broadcast;
-2. counts, in one pass over the documents, the words that follow each prefix, and for each phrase
+2. counts, in one pass over the numbered corpus, the words that follow each prefix, and for each phrase
    that may still score high enough the words before it and its suffixes of two words or more;
 3. scores the phrases exactly (Python integers), drops those with an extension by one word of
    ``dominance`` percent of the occurrences (an occurrence of a longer phrase is one of every
    phrase between, so extensions by one word decide), keeps each language's best ``top`` of them;
 4. adds the counted extensions of ``least`` occurrences or more to the frontier.
 
-Counting works on chunks of ``CHUNK`` words: words get chunk-local numbers (exact, no hashing), the
-trie is walked for all positions at once, and each chunk sends one row for a (node, word) pair;
+The corpus is split into words once and written as chunks of about ``CHUNK`` words, in which words have
+chunk-local numbers (exact, no hashing).  The trie is walked for all positions of a chunk at once, and each chunk sends one row for a (node, word) pair;
 Spark adds them up.  So a hot language or word is counted wherever its documents lie.
 
 Defined cases: null texts are empty, a null language is ``und`` (one class with a language of that name);
@@ -45,7 +45,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 DOMINANCE = 100          # percent
-CHUNK = 1 << 21          # words counted at once
+CHUNK = 1 << 20          # words counted at once
 NODES = 200_000          # trie nodes of a round
 NODE_BYTES = 8 << 20     # bytes of a round's phrases
 SHARE = 8                # a round's prefixes make up about 1/SHARE of all words at most
@@ -62,47 +62,58 @@ def tokens(texts: list[bytes]) -> list[bytes]:
     return b".".join(texts).translate(_FOLD).replace(b".", b" . ").split()
 
 
-def _chunks(batches, chunk: int):
-    """``(lang, words, numbers)``: distinct words of the chunk's documents of one language, and the text as their
-    numbers between borders; batches have the columns lang and text."""
-    texts: dict[str, list[bytes]] = {}
-    size = 0
+def _encode(docs: DataFrame, chunk: int) -> DataFrame:
+    """The corpus as chunks ``(lang, words, at)``, written once: the distinct words of some documents of one
+    language, joined by spaces, and their text as the words' numbers (int32) between borders."""
+    schema = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("at", pa.binary())])
 
-    def flush():
+    def flush(texts):
         for lang, own in texts.items():
             number: dict[bytes, int] = defaultdict()
             number.default_factory = number.__len__
             number[b"."] = _BREAK
             found = tokens(own)
-            at = np.zeros(len(found) + 2 + LONGEST, np.int32)
+            at = np.zeros(len(found) + 2 + LONGEST, "<i4")
             at[1:len(found) + 1] = np.fromiter(map(number.__getitem__, found), np.int32, len(found))
-            del found
-            yield lang, list(number), at
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([b" ".join(number)], pa.binary()),
+                                              pa.array([at.tobytes()], pa.binary())], schema=schema)
 
+    def run(batches):
+        texts: dict[str, list[bytes]] = {}
+        size = 0
+        for b in batches:
+            raw, off = text_buffers(b.column(1))
+            for i, lang in enumerate(b.column(0).to_pylist()):
+                if off[i + 1] > off[i]:
+                    texts.setdefault(lang, []).append(raw[off[i]:off[i + 1]].tobytes())
+                    size += int(off[i + 1] - off[i])
+                if size >= 6 * chunk:      # a word and its space are about six bytes
+                    yield from flush(texts)
+                    texts, size = {}, 0
+        yield from flush(texts)
+
+    # row groups of a few chunks, so a task holds a few at a time
+    return staged(docs.mapInArrow(run, "lang string, words binary, at binary"), "collocation-chunks", {"parquet.block.size": str(16 << 20)})
+
+
+def _decode(batches):
     for b in batches:
-        raw, off = text_buffers(b.column(1))
-        for i, lang in enumerate(b.column(0).to_pylist()):
-            if off[i + 1] > off[i]:
-                texts.setdefault(lang, []).append(raw[off[i]:off[i + 1]].tobytes())
-                size += int(off[i + 1] - off[i])
-            if size >= 6 * chunk:      # a word and its space are about six bytes
-                yield from flush()
-                texts, size = {}, 0
-    yield from flush()
-
-
-def _word_counts(docs: DataFrame, chunk: int) -> DataFrame:
+        for lang, words, at in zip(*b.columns):
+            yield lang.as_py(), words.as_py().split(b" "), np.frombuffer(at.as_py(), "<i4")
+
+
+def _word_counts(chunks: DataFrame) -> DataFrame:
     """``(lang, word, f)``; the row with a null word holds the language's number of words."""
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("c", pa.int64())])
 
     def run(batches):
-        for lang, words, at in _chunks(batches, chunk):
+        for lang, words, at in _decode(batches):
             c = np.bincount(at, minlength=len(words))[1:]
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang] * len(words), pa.string()), pa.array([None] + [w.decode() for w in words[1:]], pa.string()),
                 pa.array(np.r_[c.sum(), c], pa.int64())], schema=schema)
 
-    return docs.mapInArrow(run, "lang string, word string, c long").groupBy("lang", "word").agg(F.sum("c").alias("f"))
+    return chunks.mapInArrow(run, "lang string, word string, c long").groupBy("lang", "word").agg(F.sum("c").alias("f"))
 
 
 class Requests:
@@ -176,19 +187,19 @@ def count_requests(compiled: tuple, lang: str, words: list[bytes], at: np.ndarra
             where, state = where[on], state[on]
 
 
-def _count(docs: DataFrame, compiled, chunk: int) -> DataFrame:
+def _count(chunks: DataFrame, compiled) -> DataFrame:
     """``(node, kind, word, c)`` over all documents; the word is null for whole phrases."""
     schema = pa.schema([("node", pa.int32()), ("kind", pa.int8()), ("word", pa.string()), ("c", pa.int64())])
 
     def run(batches):
         asked = compiled.value
-        for lang, words, at in _chunks(batches, chunk):
+        for lang, words, at in _decode(batches):
             spelt = pa.array([None] + [w.decode() for w in words[1:]], pa.string())
             for node, kind, word, c in count_requests(asked, lang, words, at):
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int32()), pa.array(np.full(len(node), kind), pa.int8()),
                                                   spelt.take(pa.array(word)), pa.array(c, pa.int64())], schema=schema)
 
-    return docs.mapInArrow(run, "node int, kind tinyint, word string, c long").groupBy("node", "kind", "word").agg(F.sum("c").alias("c"))
+    return chunks.mapInArrow(run, "node int, kind tinyint, word string, c long").groupBy("node", "kind", "word").agg(F.sum("c").alias("c"))
 
 
 def best_cut(a: int, n: int, left: list[int], right: list[int]) -> tuple[int, int, int]:
@@ -250,7 +261,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counted = staged(_word_counts(src, chunk).filter(f"word is null or f >= {least}"), "collocation-words")
+    chunks = _encode(src, chunk)
+    counted = staged(_word_counts(chunks).filter(f"word is null or f >= {least}"), "collocation-words")
     totals = counted.filter("word is null").select("lang", F.col("f").alias("n"))
     words = counted.filter("word is not null").select("lang", "word", "f")
     all_words = totals.agg(F.sum("n")).first()[0] or 0
@@ -278,7 +290,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
         batch = ready.filter(F.col("slot") <= last).collect()
         asked, at_node, live = _requests(batch, floor, LONGEST)
         compiled = spark.sparkContext.broadcast(asked.compiled())
-        counts = staged(_count(src, compiled, chunk).filter(f"c >= {least}"), "collocation-counts")
+        counts = staged(_count(chunks, compiled).filter(f"c >= {least}"), "collocation-counts")
         compiled.unpersist()
         # at most three rows a node
         found = {(r["node"], r["kind"]): r["c"] for r in counts.groupBy("node", "kind").agg(F.max("c").alias("c")).collect()}
