@@ -43,6 +43,8 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # small states: no disk set aside beforehand for each store's logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 LEDGER = ("digest binary, n_rows long, keep struct<shorter:long,unnamed:boolean,doc_id:long,file:string,row:long>, batch long")
 
