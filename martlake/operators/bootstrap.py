@@ -5,14 +5,18 @@ bootstrap (each cluster gets an independent Poisson(1) weight per iteration;
 see the public literature on the Poisson/"online" bootstrap).  It needs no
 shuffle of the rows and no random-number state:
 
-* rows are reduced to per-cluster totals first (sum and count per group);
-* each cluster's weight for iteration ``i`` comes from a 32-bit integer mix of
-  ``md5(cluster:seed)`` and ``i``, turned into a uniform and then into a
-  Poisson(1) count through its inverse CDF -- deterministic, so a recomputed
-  task after an executor loss draws the same weights;
-* ``explode(sequence(0, iterations - 1))`` replicates the small cluster-total
-  rows, and a grouped aggregate by iteration (map-side combined, at most
-  ``iterations`` partial rows per task) sums the weighted totals.
+* rows are reduced to per-cluster totals first (sum and count per group), and
+  clusters of equal totals to one row with their number ``m``: the sum of ``m``
+  Poisson(1) weights is one Poisson(m) weight, so an iteration draws once for
+  each distinct total, however many clusters share it;
+* draws come from a 32-bit integer mix of the row's seed (the smallest
+  ``md5(cluster:seed)`` of its clusters) and a counter -- deterministic, so a
+  recomputed task after an executor loss draws the same weights;
+* below ``SMALL`` a draw inverts the distribution function (tables up to 2^-32,
+  the uniforms' step); from there on it is a transformed rejection (Hoermann's PTRS,
+  published 1993), with ``TRIES`` pairs of uniforms, of which all fail once in 10^15 draws at most;
+* a grouped aggregate by iteration (map-side combined, at most ``iterations``
+  partial rows per task) sums the weighted totals.
 
 Interval = exact 2.5 / 97.5 percentiles over the valid iterations.
 """
@@ -32,9 +36,24 @@ from martlake.session import materialize
 MASK32 = 0xFFFFFFFF
 GOLDEN = 0x9E3779B1
 MIX = 0x45D9F3B
-POISSON_TERMS = 12
-# Poisson(1) cumulative distribution P(X <= k), k = 0 .. POISSON_TERMS - 1.
-POISSON_CDF = [math.exp(-1.0) * sum(1.0 / math.factorial(j) for j in range(k + 1)) for k in range(POISSON_TERMS)]
+SMALL = 30               # means below this are drawn by inversion
+TRIES = 24
+COUNTERS = 64            # counters of one iteration: two a try
+
+
+def _cdf(mean: int) -> list[float]:
+    """Poisson distribution function P(X <= k), k = 0, 1, ... until what is left is below 2^-33."""
+    out, term, k = [], math.exp(-mean), 0
+    total = term
+    while 1.0 - total > 2.0 ** -33 or k < mean:
+        out.append(total)
+        k += 1
+        term *= mean / k
+        total += term
+    return [*out, total]
+
+
+POISSON_CDF = [_cdf(m) for m in range(1, SMALL)]
 
 
 def cluster_seed(cluster: Column, seed: int) -> Column:
@@ -52,13 +71,54 @@ def uniform(h: Column, it: Column) -> Column:
     return x / F.lit(4294967296.0)
 
 
-def poisson1(u: Column) -> Column:
-    """Poisson(1) draw from a uniform via its inverse CDF (truncated at POISSON_TERMS)."""
-    terms = [(u >= F.lit(c)).cast("int") for c in POISSON_CDF]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def _inside(h: Column, counter: Column) -> Column:
+    """Uniform in the open interval (0, 1)."""
+    return uniform(h, counter) + F.lit(0.5 / 4294967296.0)
+
+
+def _inverted(m: Column, u: Column) -> Column:
+    """Poisson(m) of a uniform by its distribution function, m below ``SMALL``."""
+    one = sum((u >= F.lit(c)).cast("int") for c in POISSON_CDF[0])
+    tables = F.array(*[F.array(*map(F.lit, row)) for row in POISSON_CDF])
+    return F.when(m == 1, one).otherwise(F.size(F.filter(F.element_at(tables, m.cast("int")), lambda c: c <= u)))
+
+
+def _rejected(mu: Column, u: Column, v: Column) -> tuple[Column, Column]:
+    """One try of transformed rejection for Poisson(mu): the candidate and whether it is taken.
+
+    ``u`` and ``v`` are uniforms inside (0, 1).  The logarithm of the probability of k uses Stirling's
+    series, whose error is below 10^-9 for all k that a mean of ``SMALL`` or more draws in practice.
+    """
+    half = F.lit(0.5)
+    b = F.lit(0.931) + F.lit(2.53) * F.sqrt(mu)
+    a = F.lit(-0.059) + F.lit(0.02483) * b
+    us = half - F.abs(u - half)
+    k = F.floor((F.lit(2.0) * a / us + b) * (u - half) + mu + F.lit(0.43)).cast("double")
+    n = F.greatest(k, F.lit(1.0))
+    series = (F.lit(1 / 12) - (F.lit(1 / 360) - F.lit(1 / 1260) / (n * n)) / (n * n)) / n
+    density = F.when(k < 1, -mu).otherwise(k * F.ln(mu / n) + (k - mu) - half * F.ln(F.lit(2 * math.pi) * n) - series)
+    inside = (us >= 0.07) & (v <= F.lit(0.9277) - F.lit(3.6224) / (b - F.lit(2.0)))
+    outside = (k < 0) | ((us < 0.013) & (v > us))
+    hat = F.ln(v) + F.ln(F.lit(1.1239) + F.lit(1.1328) / (b - F.lit(3.4))) - F.ln(a / (us * us) + b)
+    return k, inside | (~outside & (hat <= density))
+
+
+def poisson(m: Column, h: Column, it: Column) -> Column:
+    """Poisson(m) draw (m = 1, 2, ...) for a 32-bit seed ``h`` and an iteration ``it``."""
+    first = it.cast("bigint") * F.lit(COUNTERS)
+    mu = m.cast("double")
+
+    def attempt(t: Column) -> tuple[Column, Column]:
+        return _rejected(mu, _inside(h, first + t * 2), _inside(h, first + t * 2 + 1))
+
+    def again(acc: Column, t: Column) -> Column:
+        k, ok = attempt(t)
+        return F.when(acc["ok"], acc).otherwise(F.struct(k.alias("k"), ok.alias("ok")))
+
+    k, ok = attempt(F.lit(0))
+    rest = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES - 1)), F.struct(F.lit(0.0).alias("k"), F.lit(False).alias("ok")), again, lambda x: x["k"])
+    large = F.when(ok, k).otherwise(F.greatest(rest, F.lit(0.0))).cast("bigint")
+    return F.when(m < SMALL, _inverted(m, uniform(h, first)).cast("bigint")).otherwise(large)
 
 
 def cluster_totals(df: DataFrame, cluster: str, group: str, value: str, group_a, group_b) -> DataFrame:
@@ -93,9 +153,12 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
         if not row["ca"] or not row["cb"]:
             raise ValueError("one of the two groups has no row")
 
-    reps = totals.select("sa", "ca", "sb", "cb", cluster_seed(F.col("c"), seed).alias("h"),
-                         F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("it"))
-    w = poisson1(uniform(F.col("h"), F.col("it")))
+    # clusters of equal totals are drawn together
+    equal = (totals.withColumn("h", cluster_seed(F.col("c"), seed)).groupBy("sa", "ca", "sb", "cb")
+             .agg(F.count(F.lit(1)).alias("m"), F.min("h").alias("h")))
+    reps = equal.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("it"))
+    reps = reps.select("it", "sa", "ca", "sb", "cb", poisson(F.col("m"), F.col("h"), F.col("it")).alias("w"))
+    w = F.col("w")
     per_it = reps.groupBy("it").agg(F.sum(w * F.col("sa")).alias("wsa"), F.sum(w * F.col("ca")).alias("wca"),
                                     F.sum(w * F.col("sb")).alias("wsb"), F.sum(w * F.col("cb")).alias("wcb"))
     per_it = materialize(per_it)  # `iterations` rows

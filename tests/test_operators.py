@@ -120,10 +120,33 @@ def test_ninety_day_floor_is_inclusive(spark):
     assert got == [True, True, True, False, False, False]
 
 
-def test_poisson_weights_have_mean_one(spark):
-    df = spark.range(200000).select(B.poisson1(B.uniform(F.lit(12345).cast("bigint"), F.col("id"))).alias("w"))
-    m, v = df.agg(F.avg("w"), F.var_samp("w")).first()
-    assert m == pytest.approx(1.0, abs=0.01) and v == pytest.approx(1.0, abs=0.02)
+@pytest.mark.parametrize("m,n", [(1, 200_000), (7, 100_000), (29, 100_000), (30, 200_000), (1000, 100_000), (10 ** 9, 50_000)])
+def test_poisson_draws_have_the_right_moments(spark, m, n):
+    df = spark.range(n).select(B.poisson(F.lit(m).cast("bigint"), F.lit(12345).cast("bigint"), F.col("id")).alias("w"))
+    mean, var, skew = df.agg(F.avg("w"), F.var_samp("w"), F.skewness("w")).first()
+    assert mean == pytest.approx(m, abs=5 * math.sqrt(m / n))
+    assert var == pytest.approx(m, rel=0.03) and skew == pytest.approx(m ** -0.5, abs=0.05)
+
+
+@pytest.mark.parametrize("m", [10, 30, 64])
+def test_poisson_draws_follow_the_distribution(spark, m):
+    """Chi-square against the exact probabilities, for inversion and for rejection."""
+    n = 200_000
+    df = spark.range(n).select(B.poisson(F.lit(m).cast("bigint"), F.lit(99).cast("bigint"), F.col("id")).alias("w"))
+    seen = {r["w"]: r["count"] for r in df.groupBy("w").count().collect()}
+    expect = {k: n * math.exp(k * math.log(m) - m - math.lgamma(k + 1)) for k in range(6 * m)}
+    usual = [k for k, e in expect.items() if e >= 10]
+    chi = sum((seen.get(k, 0) - expect[k]) ** 2 / expect[k] for k in usual)
+    assert chi < len(usual) + 5 * math.sqrt(2 * len(usual))
+
+
+def test_bootstrap_draws_once_for_equal_clusters(spark):
+    """Half a million clusters of four kinds are four rows an iteration."""
+    df = spark.range(500_000).select(F.col("id").alias("c"), (F.col("id") % 2 == 0).alias("g"), (F.col("id") % 4 < 2).cast("double").alias("v"))
+    got = B.bootstrap_diff(df, cluster="c", group="g", value="v", iterations=400).first()
+    assert got["clusters"] == 500_000 and got["difference"] == 0.0
+    half = (got["ci_high"] - got["ci_low"]) / 2        # 1.96 standard errors of a difference of two shares of 1/2
+    assert half == pytest.approx(1.96 * math.sqrt(2 * 0.25 / 250_000), rel=0.2) and got["ci_low"] < 0 < got["ci_high"]
 
 
 def test_bootstrap_validation_errors(spark):
