@@ -19,7 +19,7 @@ def upper_fences(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> dic
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("which"), F.col(c).cast("double").alias("at")) for i, c in enumerate(cols)])).alias("x"))
-    q = grouped_quantiles(long.select("x.*"), ["which"], "at", [0.25, 0.75], ["q1", "q3"])
+    q = grouped_quantiles(long.select("x.*"), ["which"], "at", [0.25, 0.75], ["q1", "q3"], max_groups=len(cols))
     row = q.agg(*[F.max(F.when(F.col("which") == i, F.col("q3") + F.lit(factor) * (F.col("q3") - F.col("q1")))).alias(f"u{i}")
                   for i in range(len(cols))])
     return {c: row.select(f"u{i}").scalar() for i, c in enumerate(cols)}

@@ -1,7 +1,7 @@
 """Seller concentration: cumulative share, top shares, HHI, Gini, weighted lateness.
 
 The global order (revenue descending, seller_id tie-break) comes from the
-two-phase rank operator, never from an unpartitioned window.  Totals are
+range-partitioned rank operator, never from an unpartitioned window.  Totals are
 scalar subqueries.  HHI is computed as sum(revenue^2) / total^2 with the
 squares summed exactly in DECIMAL, which equals sum(share^2).
 """
@@ -21,21 +21,21 @@ def _totals(sellers: DataFrame):
     return n, total
 
 
-def seller_lorenz(sellers: DataFrame, buckets: int = 64) -> DataFrame:
+def seller_lorenz(sellers: DataFrame) -> DataFrame:
     """Per seller rank (revenue desc), cumulative revenue share, seller fraction."""
     n, total = _totals(sellers)
     r = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False,
-                    tiebreak=["seller_id"], value_col="revenue", buckets=buckets)
+                    tiebreak=["seller_id"], value_col="revenue")
     return r.select("seller_id", "revenue", "rank",
                     (F.col("cum_value").cast("double") / total).alias("cumulative_share"),
                     (F.col("rank") / n).alias("seller_fraction"))
 
 
-def seller_concentration(sellers: DataFrame, buckets: int = 64) -> DataFrame:
+def seller_concentration(sellers: DataFrame) -> DataFrame:
     """Sellers, top 1 % and top 10 % revenue share (ceil(n p) sellers), HHI, top seller share."""
     n, total = _totals(sellers)
     r = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False,
-                    tiebreak=["seller_id"], buckets=buckets)
+                    tiebreak=["seller_id"])
     k1, k10 = F.ceil(n * F.lit(0.01)), F.ceil(n * F.lit(0.10))
     agg = r.agg(
         F.count(F.lit(1)).alias("sellers"),
@@ -51,7 +51,7 @@ def seller_concentration(sellers: DataFrame, buckets: int = 64) -> DataFrame:
         (F.col("_top") / total).alias("top_seller_share"))
 
 
-def seller_gini(sellers: DataFrame, buckets: int = 64) -> DataFrame:
+def seller_gini(sellers: DataFrame) -> DataFrame:
     """Gini = 2 sum(i x_i) / (n sum x) - (n + 1) / n over ascending revenue.
 
     Ascending position i = n + 1 - descending rank; ties give the same sum in
@@ -59,7 +59,7 @@ def seller_gini(sellers: DataFrame, buckets: int = 64) -> DataFrame:
     """
     n, total = _totals(sellers)
     r = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False,
-                    tiebreak=["seller_id"], buckets=buckets)
+                    tiebreak=["seller_id"])
     i = (F.lit(n) + 1 - F.col("rank")).cast("decimal(12,0)")
     agg = r.agg(F.count(F.lit(1)).alias("sellers"), F.sum(i * money("revenue")).cast("double").alias("_ix"))
     return agg.select("sellers",

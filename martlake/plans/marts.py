@@ -94,7 +94,8 @@ def geolocation_by_zip(geolocation: DataFrame) -> DataFrame:
     known = geolocation.filter(F.col(zip_col).isNotNull())
     long = known.select(zip_col, F.explode(F.array(*[
         F.struct(F.lit(i).alias("axis"), F.col(c).cast("double").alias("at")) for i, c in enumerate(axes)])).alias("p"))
-    medians = grouped_quantiles(long.select(zip_col, "p.*"), [zip_col, "axis"], "at", [0.5], "q")
+    # a prefix has five digits: at most 100,000 zips, with two axes each
+    medians = grouped_quantiles(long.select(zip_col, "p.*"), [zip_col, "axis"], "at", [0.5], "q", max_groups=200_000)
     wide = medians.groupBy(zip_col).agg(*[F.max(F.when(F.col("axis") == i, F.col("q"))).alias(c) for i, c in enumerate(axes)])
     modes = modal(known, zip_col, ["geolocation_city", "geolocation_state"])
     return (known.select(zip_col).distinct().join(wide, zip_col, "left").join(modes, zip_col, "left")
