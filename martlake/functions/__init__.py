@@ -12,5 +12,7 @@ from martlake.functions.scalar import (  # noqa: F401
     null_safe_bool,
     ntz,
     ratio,
+    square_sum,
     strip,
+    weighted_sum,
 )

@@ -110,3 +110,36 @@ def strip(col) -> Column:
     character trim (no regular expression), so it stays cheap in codegen.
     """
     return F.btrim(_c(col), F.lit(WHITESPACE))
+
+
+def _parts(c) -> tuple[Column, Column]:
+    """Non-negative money as whole units and ten decimal places, both whole numbers."""
+    x = money(c)
+    whole = F.floor(x).cast("decimal(18,0)")
+    return whole, ((x - whole) * F.lit(10_000_000_000)).cast("decimal(10,0)")
+
+
+def _exact(product: Column) -> Column:
+    """Aggregate: sum of whole-number products, exact, then a double."""
+    return F.coalesce(F.sum(product.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("double")
+
+
+def square_sum(c) -> Column:
+    """Aggregate: sum of the squares of non-negative money, as a double.
+
+    An amount is h1 * 10^9 + h0 + low / 10^10, and the products of the three parts are summed apart, each
+    exactly: no decimal place is cut from a square, and amounts of 10^16 don't overflow.
+    Only the last step, which adds the six sums, is in doubles.
+    """
+    whole, low = _parts(c)
+    h1, h0 = F.floor(whole / F.lit(10 ** 9)).cast("decimal(9,0)"), F.pmod(whole, F.lit(10 ** 9)).cast("decimal(9,0)")
+    units = _exact(h1 * h1) * 1e18 + _exact(h1 * h0) * 2e9 + _exact(h0 * h0)
+    return units + (_exact(h1 * low) * 2e9 + _exact(h0 * low) * 2.0) / 1e10 + _exact(low * low) / 1e20
+
+
+def weighted_sum(weight: Column, c) -> Column:
+    """Aggregate: sum of a whole ``weight`` times non-negative money, as a double; units and decimal places
+    are summed apart, each exactly."""
+    whole, low = _parts(c)
+    w = weight.cast("decimal(18,0)")
+    return _exact(w * whole) + _exact(w * low) / 1e10

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.operators.quantiles import quantiles
@@ -38,30 +38,20 @@ def null_profile(name: str, df: DataFrame) -> DataFrame:
             .filter(F.col("nulls") > 0))
 
 
-def _exact_moments(x: Column, decimal_type: str) -> list[Column]:
-    """count, exact sum and sum of squares (DECIMAL, order-independent)."""
-    v = x.cast(decimal_type)
-    return [F.count(x).alias("count"), F.sum(v).alias("_s"), F.sum(v * v).alias("_ss")]
-
-
-def describe(df: DataFrame, col: str, probs: Sequence[float], decimal_type: str = "decimal(24,6)",
-             scale: float = 1.0) -> DataFrame:
+def describe(df: DataFrame, col: str, probs: Sequence[float], scale: float = 1.0) -> DataFrame:
     """Count, mean, sample std, min, exact percentiles (interpolated), max of ``col / scale``.
 
-    Sums are exact decimals (``decimal_type`` must hold the raw values), so mean
-    and std do not depend on the order rows arrive in.
+    Mean and deviation are Spark's mergeable centred moments (count, mean and M2, combined pairwise), so
+    values of any size are neither cut nor overflow, and nearly equal ones don't cancel.
+    Like any floating-point sum they can differ in the last digits with the order of rows.
     """
-    base = df.select(F.col(col).alias("x"))
-    m = base.agg(*_exact_moments(F.col("x"), decimal_type), F.min("x").alias("_min"), F.max("x").alias("_max"))
-    n = F.col("count")
-    mean = F.col("_s").cast("double") / n / F.lit(scale)
-    var_num = (n.cast("decimal(20,0)") * F.col("_ss") - F.col("_s") * F.col("_s")).cast("double")
-    std = F.sqrt(var_num / (n * (n - 1)).cast("double")) / F.lit(scale)
+    base = df.select(F.col(col).cast("double").alias("x"))
+    m = base.agg(F.count("x").alias("n"), F.avg("x").alias("_mean"), F.stddev_samp("x").alias("_std"), F.min("x").alias("_min"), F.max("x").alias("_max"))
     names = ["p" + f"{p * 100:g}".replace(".", "_") for p in probs]
     q = quantiles(base, "x", probs, names)
     qcols = [(q.select(F.col(nm) / F.lit(scale)).scalar()).alias(nm) for nm in names]
-    return m.select(F.lit(col).alias("column_name"), n.alias("count"), mean.alias("mean"),
-                    F.when(n > 1, std).alias("std"), (F.col("_min") / F.lit(scale)).alias("min"),
+    return m.select(F.lit(col).alias("column_name"), F.col("n").alias("count"), (F.col("_mean") / F.lit(scale)).alias("mean"),
+                    F.when(F.col("n") > 1, F.col("_std") / F.lit(scale)).alias("std"), (F.col("_min") / F.lit(scale)).alias("min"),
                     *qcols, (F.col("_max") / F.lit(scale)).alias("max"))
 
 

@@ -2,21 +2,22 @@
 
 ``lead(ts).over(partitionBy(entity).orderBy(ts, id))`` sends all rows of an
 entity to one task; an entity holding a third of the data would stall the
-stage.  Here the window is split by time bucket:
+stage.  Here the window is split by time bucket, over one frame that is read once:
 
-1. ``lead`` inside ``(entity, bucket)`` windows;
-2. rows last in their bucket take the first event of the entity's next
-   non-empty bucket: per ``(entity, bucket)`` minimum of ``(ts, id)`` (a
-   grouped aggregate, map-side combined), then ``lead`` over that small table
-   (rows per entity <= number of buckets spanned), joined back on
-   ``(entity, bucket)``.
+1. ``lead`` and ``lag`` inside ``(entity, bucket)`` windows; a row that lacks one of
+   them is at its bucket's edge, so there are at most two a bucket;
+2. a second window brings only an entity's edge rows together: the row after a
+   bucket's last one is the first of the entity's next non-empty bucket.  All other
+   rows stay dealt by ``(entity, bucket)``.
 
-Ordering is total: ``(ts, id)``; equal timestamps are broken by ``id``.
+Ordering is total: ``(ts, id)``; equal timestamps are broken by ``id``.  Rows of an unknown (null)
+entity make no sequence: they are dealt by their id and have no next event.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,19 +34,14 @@ def next_in_sequence(df: DataFrame, entity: Sequence[str] | str, ts: str, tiebre
         bkt = F.trunc(F.to_date(F.col(ts)), bucket)
     else:
         bkt = F.date_trunc(bucket, F.col(ts))
-    d = df.withColumn("__bkt", bkt)
-    w = Window.partitionBy(*entity, "__bkt").orderBy(F.col(ts), F.col(tiebreak))
-    d = (d.withColumn("__n_ts", F.lead(ts).over(w))
-          .withColumn("__n_id", F.lead(tiebreak).over(w)))
-
-    firsts = d.groupBy(*entity, "__bkt").agg(F.min(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("i"))).alias("__first"))
-    wb = Window.partitionBy(*entity).orderBy("__bkt")
-    nxt = firsts.select(*[F.col(c).alias(f"__e_{c}") for c in entity], F.col("__bkt").alias("__e_bkt"),
-                        F.lead("__first").over(wb).alias("__nb"))
-    # Null-safe: events of an unknown (null) entity still form one sequence.
-    cond = [d[c].eqNullSafe(nxt[f"__e_{c}"]) for c in entity] + [d["__bkt"] == nxt["__e_bkt"]]
-    d = d.join(nxt, cond, "left").drop(*[f"__e_{c}" for c in entity], "__e_bkt")
-    last_in_bucket = F.col("__n_id").isNull() & F.col("__n_ts").isNull()
-    return (d.withColumn(next_ts, F.when(last_in_bucket, F.col("__nb.t")).otherwise(F.col("__n_ts")))
-             .withColumn(next_id, F.when(last_in_bucket, F.col("__nb.i")).otherwise(F.col("__n_id")))
-             .drop("__bkt", "__n_ts", "__n_id", "__nb"))
+    event = F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("i"))
+    unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in entity])
+    d = df.withColumn("__bkt", F.struct(bkt)).withColumn("__alone", F.when(unknown, F.struct(F.col(tiebreak))))
+    w = Window.partitionBy(*entity, "__alone", "__bkt").orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("__next", F.lead(event).over(w)).withColumn("__edge", F.col("__next").isNull() | F.lag(event).over(w).isNull())
+    d = d.withColumn("__cell", F.when(~F.col("__edge"), F.col("__bkt")))
+    edges = Window.partitionBy(*entity, "__alone", "__cell").orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("__far", F.lead(event).over(edges))
+    d = d.withColumn("__next", F.when(~unknown, F.coalesce("__next", "__far")))
+    return (d.withColumn(next_ts, F.col("__next.t")).withColumn(next_id, F.col("__next.i"))
+             .drop("__bkt", "__alone", "__next", "__edge", "__cell", "__far"))

@@ -2,8 +2,8 @@
 
 The global order (revenue descending, seller_id tie-break) comes from the
 range-partitioned rank operator, never from an unpartitioned window.  Totals are
-scalar subqueries.  HHI is computed as sum(revenue^2) / total^2 with the
-squares summed exactly in DECIMAL, which equals sum(share^2).
+scalar subqueries.  HHI is computed as sum(revenue^2) / total^2, which equals
+sum(share^2); squares and rank-weighted revenue are summed exactly in parts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.functions import money, money_sum
+from martlake.functions import money, money_sum, square_sum, weighted_sum
 from martlake.operators.ranking import global_rank
 
 
@@ -41,7 +41,7 @@ def seller_concentration(sellers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sellers"),
         money_sum(F.when(F.col("rank") <= k1, F.col("revenue"))).alias("_t1"),
         money_sum(F.when(F.col("rank") <= k10, F.col("revenue"))).alias("_t10"),
-        F.sum(money("revenue") * money("revenue")).cast("double").alias("_sq"),
+        square_sum("revenue").alias("_sq"),
         F.max("revenue").alias("_top"))
     return agg.select(
         "sellers",
@@ -60,8 +60,7 @@ def seller_gini(sellers: DataFrame) -> DataFrame:
     n, total = _totals(sellers)
     r = global_rank(sellers.select("seller_id", "revenue"), "revenue", ascending=False,
                     tiebreak=["seller_id"])
-    i = (F.lit(n) + 1 - F.col("rank")).cast("decimal(12,0)")
-    agg = r.agg(F.count(F.lit(1)).alias("sellers"), F.sum(i * money("revenue")).cast("double").alias("_ix"))
+    agg = r.agg(F.count(F.lit(1)).alias("sellers"), weighted_sum(F.lit(n) + 1 - F.col("rank"), "revenue").alias("_ix"))
     return agg.select("sellers",
                       (F.lit(2.0) * F.col("_ix") / (F.col("sellers") * total)
                        - (F.col("sellers") + 1) / F.col("sellers")).alias("gini"))

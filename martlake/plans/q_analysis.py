@@ -21,7 +21,8 @@ SELECT CAST(date_trunc('month', order_purchase_timestamp) AS TIMESTAMP) AS order
 FROM commercial_orders GROUP BY 1""")
 register("deliv_seq", ("fact_orders",), """
 SELECT order_id, customer_unique_id, order_purchase_timestamp, is_late, review_score, delivery_days,
-  lead(order_purchase_timestamp) OVER w AS next_purchase_at, lead(order_id) OVER w AS next_order_id
+  CASE WHEN customer_unique_id IS NOT NULL THEN lead(order_purchase_timestamp) OVER w END AS next_purchase_at,
+  CASE WHEN customer_unique_id IS NOT NULL THEN lead(order_id) OVER w END AS next_order_id
 FROM fact_orders WHERE order_status = 'delivered'
 WINDOW w AS (PARTITION BY customer_unique_id ORDER BY order_purchase_timestamp, order_id)""")
 register("cat_window", ("commercial_items",), f"""

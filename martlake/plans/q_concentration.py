@@ -20,6 +20,14 @@ SELECT seller_id, revenue, orders, late_rate,
 FROM mart_seller_performance""")
 register("seller_totals", ("mart_seller_performance",), f"""
 SELECT COUNT(*) AS n, {msum('revenue')} AS total FROM mart_seller_performance""")
+register("seller_parts", ("seller_ranked",), """
+SELECT *, cents // 100 // 1000000000 AS h1, cents // 100 % 1000000000 AS h0, cents % 100 * 100000000 AS low
+FROM (SELECT *, CAST(CAST(revenue AS DECIMAL(18,2)) * 100 AS HUGEINT) AS cents FROM seller_ranked)""")
+
+
+def _whole(product: str) -> str:
+    """An exact sum of whole numbers as a double, by way of text (correctly rounded)."""
+    return f"CAST(CAST(SUM(CAST({product} AS HUGEINT)) AS VARCHAR) AS DOUBLE)"
 
 
 def _sellers(spark, sf_dir) -> DataFrame:
@@ -40,24 +48,24 @@ def q_seller_lorenz(spark, sf_dir):
     return C.seller_lorenz(_sellers(spark, sf_dir))
 
 
-@query("seller_concentration", with_ctes(["seller_ranked", "seller_totals"], f"""
+@query("seller_concentration", with_ctes(["seller_parts", "seller_totals"], f"""
 SELECT COUNT(*) AS sellers,
   {msum('CASE WHEN rank <= ceil(n * 0.01::DOUBLE) THEN revenue END')} / ANY_VALUE(total) AS top_1_pct_share,
   {msum('CASE WHEN rank <= ceil(n * 0.10::DOUBLE) THEN revenue END')} / ANY_VALUE(total) AS top_10_pct_share,
-  CAST(SUM(CAST(CAST(revenue AS DECIMAL(18,2)) AS DECIMAL(38,2)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) / (ANY_VALUE(total) * ANY_VALUE(total)) AS hhi,
+  ({_whole('h1 * h1')} * 1e18 + {_whole('h1 * h0')} * 2e9 + {_whole('h0 * h0')}
+    + ({_whole('h1 * low')} * 2e9 + {_whole('h0 * low')} * 2e0) / 1e10 + {_whole('low * low')} / 1e20) / (ANY_VALUE(total) * ANY_VALUE(total)) AS hhi,
   MAX(revenue) / ANY_VALUE(total) AS top_seller_share
-FROM seller_ranked, seller_totals"""))
+FROM seller_parts, seller_totals"""))
 def q_seller_concentration(spark, sf_dir):
     """Top 1 % and 10 % seller share, HHI, top seller share."""
     return C.seller_concentration(_sellers(spark, sf_dir))
 
 
-@query("seller_gini", with_ctes(["seller_ranked", "seller_totals"], """
+@query("seller_gini", with_ctes(["seller_parts", "seller_totals"], f"""
 SELECT COUNT(*) AS sellers,
-  2.0::DOUBLE * CAST(SUM(CAST(ANY_VALUE(n) + 1 - rank AS DECIMAL(12,0)) * CAST(revenue AS DECIMAL(18,2))) AS DOUBLE)
+  2.0::DOUBLE * ({_whole('(n + 1 - rank) * (cents // 100)')} + {_whole('(n + 1 - rank) * low')} / 1e10)
     / (COUNT(*) * ANY_VALUE(total)) - (COUNT(*) + 1) / COUNT(*) AS gini
-FROM seller_ranked, seller_totals""".replace(
-    "SUM(CAST(ANY_VALUE(n) + 1 - rank", "SUM(CAST(n + 1 - rank")))
+FROM seller_parts, seller_totals"""))
 def q_seller_gini(spark, sf_dir):
     """Gini coefficient of seller revenue."""
     return C.seller_gini(_sellers(spark, sf_dir))

@@ -85,12 +85,43 @@ def test_next_in_sequence_matches_shift_with_equal_timestamps(spark):
     df = spark.createDataFrame(rows, "p string, oid int, ts timestamp_ntz")
     got = next_in_sequence(df, "p", "ts", "oid", "month").toPandas().set_index("oid")
     pdf = pd.DataFrame(rows, columns=["p", "oid", "ts"]).sort_values(["p", "ts", "oid"])
-    pdf["nxt"] = pdf.groupby("p", dropna=False).oid.shift(-1)
+    pdf["nxt"] = pdf.groupby("p").oid.shift(-1)      # an unknown person makes no sequence
     for oid, nxt in zip(pdf.oid, pdf.nxt):
         g = got.loc[oid, "next_id"]
         assert (pd.isna(g) and pd.isna(nxt)) or g == nxt, oid
 
 
+def test_sequence_reads_its_input_once(spark, tmp_path):
+    spark.range(5000).select((F.col("id") % 3).alias("p"), F.col("id").alias("oid"), F.timestamp_seconds(F.col("id") * 86_400).cast(
+        "timestamp_ntz").alias("ts")).write.parquet(f"{tmp_path}/t")
+    got = next_in_sequence(spark.read.parquet(f"{tmp_path}/t"), "p", "ts", "oid", "month")
+    rows = {r["oid"]: r["next_id"] for r in got.collect()}
+    assert all(rows[i] == i + 3 for i in range(4997)) and [rows[i] for i in (4997, 4998, 4999)] == [None] * 3
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+def test_describe_neither_cuts_nor_overflows(spark):
+    from martlake.operators.profile import describe
+    rng = np.random.default_rng(2)
+    for scale in (1e-7, 1.0, 1e5, 1e30):
+        x = rng.random(2000) * scale + scale
+        r = describe(spark.createDataFrame([(float(v),) for v in x], "x double").repartition(7), "x", [0.5]).first()
+        assert r["mean"] == pytest.approx(x.mean(), rel=1e-12) and r["std"] == pytest.approx(x.std(ddof=1), rel=1e-10)
+    near = describe(spark.range(10_000).select((F.lit(1e9) + (F.col("id") % 2) * 1e-3).alias("x")), "x", [0.5]).first()
+    assert near["std"] == pytest.approx(0.0005, rel=1e-3)          # centred: no cancellation
+    assert describe(spark.createDataFrame([(4.0,)], "x double"), "x", [0.5]).first()["std"] is None
+
+
+def test_concentration_of_very_small_and_very_large_revenue(spark):
+    for scale in (0.0004, 12.34, 1e16):
+        x = [scale * k for k in (1, 2, 3, 10)]
+        df = spark.createDataFrame([(f"s{i}", v) for i, v in enumerate(x)], "seller_id string, revenue double")
+        c, g = C.seller_concentration(df).first(), C.seller_gini(df).first()
+        assert c["hhi"] == pytest.approx(sum(v * v for v in x) / sum(x) ** 2, rel=1e-12)
+        assert g["gini"] == pytest.approx(2 * sum(i * v for i, v in enumerate(sorted(x), 1)) / (4 * sum(x)) - 5 / 4, rel=1e-12)
+
+
 def test_key_profile_counts_duplicates_after_first_and_null_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (None, "x")], "k int, j string")
     r = key_profile(df, ["k", "j"]).first()

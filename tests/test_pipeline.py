@@ -185,6 +185,27 @@ def test_extra_relation_in_a_run_is_refused(spark, tmp):
         check_gold(spark, silver, f"{data}/gold/runs/r1")
 
 
+def test_of_many_publishers_of_one_pointer_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+    from martlake.sources.storage import create_once, list_names
+    gate = Barrier(8)
+
+    def publish(i):
+        gate.wait()
+        try:
+            create_once(spark, f"{tmp_path}/p/000000000001.json", json.dumps({"run_dir": i}))
+            return i
+        except FileExistsError:
+            return None
+
+    os.makedirs(f"{tmp_path}/p")
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(publish, range(8)) if i is not None]
+    assert len(won) == 1 and [n for n in list_names(spark, f"{tmp_path}/p") if not n.startswith(".")] == ["000000000001.json"]
+    assert json.loads(open(f"{tmp_path}/p/000000000001.json").read()) == {"run_dir": won[0]}
+
+
 def test_views_over_the_published_gold(spark, tmp):
     data = os.path.join(tmp, "data")
     run_pipeline(spark, write_source(tmp), data)
