@@ -36,9 +36,11 @@ from martlake.session import materialize
 MASK32 = 0xFFFFFFFF
 GOLDEN = 0x9E3779B1
 MIX = 0x45D9F3B
-SMALL = 30               # means below this are drawn by inversion
+SMALL = 10               # means below this are drawn by inversion
 TRIES = 24
+HALF_STEP = 0.5 / 4294967296.0
 COUNTERS = 64            # counters of one iteration: two a try
+CHUNK = 50               # iterations that one task draws in a row for a distinct total
 
 
 def _cdf(mean: int) -> list[float]:
@@ -54,6 +56,7 @@ def _cdf(mean: int) -> list[float]:
 
 
 POISSON_CDF = [_cdf(m) for m in range(1, SMALL)]
+LN_FACTORIAL = [math.log(math.factorial(k)) for k in range(10)]   # Stirling's series serves from 10 on
 
 
 def cluster_seed(cluster: Column, seed: int) -> Column:
@@ -73,52 +76,72 @@ def uniform(h: Column, it: Column) -> Column:
 
 def _inside(h: Column, counter: Column) -> Column:
     """Uniform in the open interval (0, 1)."""
-    return uniform(h, counter) + F.lit(0.5 / 4294967296.0)
+    return uniform(h, counter) + F.lit(HALF_STEP)
 
 
 def _inverted(m: Column, u: Column) -> Column:
-    """Poisson(m) of a uniform by its distribution function, m below ``SMALL``."""
-    one = sum((u >= F.lit(c)).cast("int") for c in POISSON_CDF[0])
-    tables = F.array(*[F.array(*map(F.lit, row)) for row in POISSON_CDF])
-    return F.when(m == 1, one).otherwise(F.size(F.filter(F.element_at(tables, m.cast("int")), lambda c: c <= u)))
+    """Poisson(m) of a uniform by its distribution function, m below ``SMALL``; written out, so that
+    it stays in generated code."""
+    drawn = [sum((u >= F.lit(c)).cast("int") for c in row) for row in POISSON_CDF]
+    out = F.when(m == 1, drawn[0])
+    for i, w in enumerate(drawn[1:], start=2):
+        out = out.when(m == i, w)
+    return out
 
 
-def _rejected(mu: Column, u: Column, v: Column) -> tuple[Column, Column]:
-    """One try of transformed rejection for Poisson(mu): the candidate and whether it is taken.
+def _hat(mu: Column) -> Column:
+    return F.lit(0.931) + F.lit(2.53) * F.sqrt(mu)
 
-    ``u`` and ``v`` are uniforms inside (0, 1).  The logarithm of the probability of k uses Stirling's
-    series, whose error is below 10^-9 for all k that a mean of ``SMALL`` or more draws in practice.
-    """
-    half = F.lit(0.5)
-    b = F.lit(0.931) + F.lit(2.53) * F.sqrt(mu)
-    a = F.lit(-0.059) + F.lit(0.02483) * b
-    us = half - F.abs(u - half)
-    k = F.floor((F.lit(2.0) * a / us + b) * (u - half) + mu + F.lit(0.43)).cast("double")
-    n = F.greatest(k, F.lit(1.0))
+
+def _slope(b: Column) -> Column:
+    return F.lit(-0.059) + F.lit(0.02483) * b
+
+
+def _inner(u: Column) -> Column:
+    return F.lit(0.5) - F.abs(u - F.lit(0.5))
+
+
+def _candidate(mu: Column, b: Column, us: Column, u: Column) -> Column:
+    return F.floor((F.lit(2.0) * _slope(b) / us + b) * (u - F.lit(0.5)) + mu + F.lit(0.43)).cast("double")
+
+
+def _taken(mu: Column, b: Column, us: Column, v: Column, k: Column) -> Column:
+    """Is the candidate k of a try of transformed rejection taken?  The logarithm of its probability is
+    exact to 10^-11."""
+    n = F.greatest(k, F.lit(10.0))
     series = (F.lit(1 / 12) - (F.lit(1 / 360) - F.lit(1 / 1260) / (n * n)) / (n * n)) / n
-    density = F.when(k < 1, -mu).otherwise(k * F.ln(mu / n) + (k - mu) - half * F.ln(F.lit(2 * math.pi) * n) - series)
+    table = F.element_at(F.array(*map(F.lit, LN_FACTORIAL)), F.greatest(k, F.lit(0.0)).cast("int") + 1)
+    density = (F.when(k < len(LN_FACTORIAL), k * F.ln(mu) - mu - table)
+               .otherwise(k * F.ln(mu / n) + (k - mu) - F.lit(0.5) * F.ln(F.lit(2 * math.pi) * n) - series))
     inside = (us >= 0.07) & (v <= F.lit(0.9277) - F.lit(3.6224) / (b - F.lit(2.0)))
     outside = (k < 0) | ((us < 0.013) & (v > us))
-    hat = F.ln(v) + F.ln(F.lit(1.1239) + F.lit(1.1328) / (b - F.lit(3.4))) - F.ln(a / (us * us) + b)
-    return k, inside | (~outside & (hat <= density))
+    hat = F.ln(v) + F.ln(F.lit(1.1239) + F.lit(1.1328) / (b - F.lit(3.4))) - F.ln(_slope(b) / (us * us) + b)
+    return inside | (~outside & (hat <= density))
 
 
-def poisson(m: Column, h: Column, it: Column) -> Column:
-    """Poisson(m) draw (m = 1, 2, ...) for a 32-bit seed ``h`` and an iteration ``it``."""
-    first = it.cast("bigint") * F.lit(COUNTERS)
-    mu = m.cast("double")
+def poisson(df: DataFrame, m: str, h: str, it: str, out: str = "w") -> DataFrame:
+    """Add ``out``: a Poisson(m) draw (m = 1, 2, ...) for a 32-bit seed ``h`` and an iteration ``it``.
 
-    def attempt(t: Column) -> tuple[Column, Column]:
-        return _rejected(mu, _inside(h, first + t * 2), _inside(h, first + t * 2 + 1))
+    The first try's parts are columns of their own, so each is computed once and in generated
+    code; the few rows that it rejects go through the other tries.
+    """
+    first = F.col(it).cast("bigint") * F.lit(COUNTERS)
+    mu = F.col(m).cast("double")
+    d = df.withColumns({"__u": uniform(F.col(h), first), "__v": _inside(F.col(h), first + 1), "__mu": mu, "__b": _hat(mu)})
+    d = d.withColumn("__x", F.col("__u") + F.lit(HALF_STEP)).withColumn("__us", _inner(F.col("__x")))
+    mu, b, us = F.col("__mu"), F.col("__b"), F.col("__us")
+    d = d.withColumn("__k", _candidate(mu, b, us, F.col("__x")))
+    d = d.withColumn("__ok", _taken(mu, b, us, F.col("__v"), F.col("__k")))
 
     def again(acc: Column, t: Column) -> Column:
-        k, ok = attempt(t)
-        return F.when(acc["ok"], acc).otherwise(F.struct(k.alias("k"), ok.alias("ok")))
+        u, v = _inside(F.col(h), first + t * 2), _inside(F.col(h), first + t * 2 + 1)
+        k = _candidate(mu, b, _inner(u), u)
+        return F.when(acc["ok"], acc).otherwise(F.struct(k.alias("k"), _taken(mu, b, _inner(u), v, k).alias("ok")))
 
-    k, ok = attempt(F.lit(0))
     rest = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES - 1)), F.struct(F.lit(0.0).alias("k"), F.lit(False).alias("ok")), again, lambda x: x["k"])
-    large = F.when(ok, k).otherwise(F.greatest(rest, F.lit(0.0))).cast("bigint")
-    return F.when(m < SMALL, _inverted(m, uniform(h, first)).cast("bigint")).otherwise(large)
+    large = F.when(F.col("__ok"), F.col("__k")).otherwise(F.greatest(rest, F.lit(0.0))).cast("bigint")
+    w = F.when(F.col(m) < SMALL, _inverted(F.col(m), F.col("__u")).cast("bigint")).otherwise(large)
+    return d.withColumn(out, w).drop("__u", "__v", "__x", "__mu", "__b", "__us", "__k", "__ok")
 
 
 def cluster_totals(df: DataFrame, cluster: str, group: str, value: str, group_a, group_b) -> DataFrame:
@@ -156,8 +179,11 @@ def bootstrap_diff(df: DataFrame, *, cluster: str, group: str, value: str, group
     # clusters of equal totals are drawn together
     equal = (totals.withColumn("h", cluster_seed(F.col("c"), seed)).groupBy("sa", "ca", "sb", "cb")
              .agg(F.count(F.lit(1)).alias("m"), F.min("h").alias("h")))
-    reps = equal.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("it"))
-    reps = reps.select("it", "sa", "ca", "sb", "cb", poisson(F.col("m"), F.col("h"), F.col("it")).alias("w"))
+    # the distinct totals may be few: their iterations are dealt out in chunks
+    chunks = equal.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1), F.lit(CHUNK))).alias("from"))
+    chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h", "from")
+    reps = chunks.select("*", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK, F.lit(iterations)) - 1)).alias("it"))
+    reps = poisson(reps, "m", "h", "it")
     w = F.col("w")
     per_it = reps.groupBy("it").agg(F.sum(w * F.col("sa")).alias("wsa"), F.sum(w * F.col("ca")).alias("wca"),
                                     F.sum(w * F.col("sb")).alias("wsb"), F.sum(w * F.col("cb")).alias("wcb"))

@@ -46,7 +46,7 @@ FROM (
       WHEN us >= {_e(0.07)} AND y <= {_e(0.9277)} - {_e(3.6224)} / (b - {_e(2.0)}) THEN true
       WHEN k < 0 OR us < {_e(0.013)} AND y > us THEN false
       ELSE ln(y) + ln({_e(1.1239)} + {_e(1.1328)} / (b - {_e(3.4)})) - ln(a / (us * us) + b) <=
-        CASE WHEN k < 1 THEN -mu ELSE k * ln(mu / k) + (k - mu) - {_e(0.5)} * ln({_e(2 * math.pi)} * k)
+        CASE WHEN k < {len(B.LN_FACTORIAL)} THEN k * ln(mu) - mu - [{', '.join(_e(x) for x in B.LN_FACTORIAL)}][CAST(greatest(k, 0) AS INT) + 1] ELSE k * ln(mu / k) + (k - mu) - {_e(0.5)} * ln({_e(2 * math.pi)} * k)
           - ({_e(1 / 12)} - ({_e(1 / 360)} - {_e(1 / 1260)} / (k * k)) / (k * k)) / k END END AS ok
     FROM (SELECT *, CASE WHEN m < {B.SMALL} THEN len(list_filter(tables[m], lambda c: c <= u / {_e(4294967296.0)}))::DOUBLE
             ELSE floor(({_e(2.0)} * a / us + b) * (x - {_e(0.5)}) + mu + {_e(0.43)}) END AS k

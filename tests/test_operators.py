@@ -164,19 +164,19 @@ def test_ninety_day_floor_is_inclusive(spark):
     assert got == [True, True, True, False, False, False]
 
 
-@pytest.mark.parametrize("m,n", [(1, 200_000), (7, 100_000), (29, 100_000), (30, 200_000), (1000, 100_000), (10 ** 9, 50_000)])
+@pytest.mark.parametrize("m,n", [(1, 200_000), (7, 100_000), (9, 100_000), (10, 200_000), (1000, 100_000), (10 ** 9, 50_000)])
 def test_poisson_draws_have_the_right_moments(spark, m, n):
-    df = spark.range(n).select(B.poisson(F.lit(m).cast("bigint"), F.lit(12345).cast("bigint"), F.col("id")).alias("w"))
+    df = B.poisson(spark.range(n).select(F.lit(m).cast("bigint").alias("m"), F.lit(12345).cast("bigint").alias("h"), "id"), "m", "h", "id")
     mean, var, skew = df.agg(F.avg("w"), F.var_samp("w"), F.skewness("w")).first()
     assert mean == pytest.approx(m, abs=5 * math.sqrt(m / n))
     assert var == pytest.approx(m, rel=0.03) and skew == pytest.approx(m ** -0.5, abs=0.05)
 
 
-@pytest.mark.parametrize("m", [10, 30, 64])
+@pytest.mark.parametrize("m", [3, 10, 64])
 def test_poisson_draws_follow_the_distribution(spark, m):
     """Chi-square against the exact probabilities, for inversion and for rejection."""
     n = 200_000
-    df = spark.range(n).select(B.poisson(F.lit(m).cast("bigint"), F.lit(99).cast("bigint"), F.col("id")).alias("w"))
+    df = B.poisson(spark.range(n).select(F.lit(m).cast("bigint").alias("m"), F.lit(99).cast("bigint").alias("h"), "id"), "m", "h", "id")
     seen = {r["w"]: r["count"] for r in df.groupBy("w").count().collect()}
     expect = {k: n * math.exp(k * math.log(m) - m - math.lgamma(k + 1)) for k in range(6 * m)}
     usual = [k for k, e in expect.items() if e >= 10]
