@@ -10,12 +10,14 @@ lengths give the positions, so all leftmost non-overlapping matches are placed e
 
 Defined cases: null text is empty and has no finding; null paths are scanned and keep their
 findings; repeated rows keep theirs; an empty table gives empty tables; input columns other
-than the path and the text are ignored.
+than the path and the text are ignored by ``scan`` and kept by ``join_paths`` (but for one named
+``found``) and ``redact``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -123,7 +125,9 @@ def span_text(spans: Column) -> Column:
 
 
 def join_paths(versions: DataFrame, per_blob: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows of ``versions`` with ``found``, the spans of their blob (empty if none)."""
+    """All rows of ``versions`` with ``found``, the spans of their blob (empty if none); a column of
+    that name in ``versions`` gives way to it."""
+    versions = versions.drop(*[c for c in versions.columns if c.lower() == "found"])
     name = fresh(versions, "blob")
     empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string>>")
     return (versions.withColumn(name, content_address(F.col(text_col)))
@@ -135,6 +139,10 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rule
            length_col: str | None = None) -> DataFrame:
     """``docs`` (all columns) with every span, overlapping ones as one, replaced by ``mask``;
     ``length_col``, if given, gets the new number of code points where a text changed."""
+    text = F.col(text_col)
+    suspect = F.coalesce(reduce(lambda a, b: a | b, [F.regexp_like(text.cast("string"), F.lit(r.pattern)) for r in rules]), F.lit(False))
+    # only texts that match a rule are dealt by content; all others pass through where they lie
+    clean, docs = docs.filter(~suspect), docs.filter(suspect)
     findings, _ = scan(docs, text_col, None, rules)
     order = Window.partitionBy("blob").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -154,4 +162,4 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", rule
     if length_col:
         size = F.char_length(text_col).cast(docs.schema[length_col].dataType)
         out = out.withColumn(length_col, F.when(cuts.isNull(), F.col(length_col)).otherwise(size))
-    return out.select(*docs.columns)
+    return clean.unionByName(out.select(*docs.columns))

@@ -252,7 +252,15 @@ def test_secret_odd_rows(odd, none):
     assert findings.count() == 0 and scanned.count() == len(blobs) * len(secret_scan.RULES)
     assert secret_scan.redact(odd).count() == odd.count() and secret_scan.redact(odd).columns == odd.columns
     assert secret_scan.scan(none)[0].count() == 0 and secret_scan.redact(none).count() == 0
-    assert secret_scan.join_paths(odd, secret_scan.by_blob(findings)).count() == odd.count()
+    joined = secret_scan.join_paths(odd, secret_scan.by_blob(findings))
+    # the input's own column of that name gives way to the spans
+    assert joined.count() == odd.count() and all(r["found"] == [] for r in joined.select("found").collect())
+
+
+def test_redact_deals_only_texts_that_match(spark):
+    docs = spark.createDataFrame([(1, "no secret here"), (2, "password = hunter2hunter2 x"), (3, None), (4, "token:abc")], "doc_id long, text string")
+    out = secret_scan.redact(docs)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "no secret here", 2: "[SECRET] x", 3: None, 4: "token:abc"}
 
 
 # --- decontamination
