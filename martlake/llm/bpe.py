@@ -369,9 +369,14 @@ def encode(text: str | None, path: str, pattern: str) -> np.ndarray:
     return np.frombuffer(b"".join(map(memo.__getitem__, split.findall(text or ""))), dtype="<u4")
 
 
-def add_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def add_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+               release: bool = False) -> DataFrame:
     """``(doc_id, ids binary, decoded binary, valid boolean)``: the ids of each text as
-    little-endian 32-bit integers, the bytes they decode to, and whether these are UTF-8."""
+    little-endian 32-bit integers, the bytes they decode to, and whether these are UTF-8.
+
+    Python workers live on from task to task and keep the transducer's states with them; ``release``
+    drops these at a task's end, for jobs whose other stages need the memory.
+    """
     ship(docs.sparkSession)
     names = ["doc_id", "ids", "decoded", "valid"]
 
@@ -389,6 +394,8 @@ def add_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                     valid.append(not len(own) or int(decoder.states(own)[-1]) == 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()),
                                                   pa.array(decoded, pa.binary()), pa.array(valid)], names=names)
+        if release:
+            _coder.cache_clear()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, ids binary, decoded binary, valid boolean")
