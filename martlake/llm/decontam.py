@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from martlake.llm._common import fresh, ship, staged
-from martlake.llm.slabs import _KIND, prefix_hash, slabs, span_hash, tokens
+from martlake.llm.slabs import _KIND, prefix_hash, slabs, span_hash, tokens, word_hash
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -39,7 +39,7 @@ def _word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     start, end, doc = tokens(data, off)
     word = _KIND[data[start]] == 1
     start, end, doc = start[word], end[word], doc[word]
-    return span_hash(prefix_hash(data), start, end), start, doc
+    return word_hash(data, start, end), start, doc
 
 
 def _seeds(word: np.ndarray, doc: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:

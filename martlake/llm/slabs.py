@@ -11,9 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+KEPT_POWERS = 1 << 22
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
 
@@ -43,16 +45,19 @@ def slabs(col: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, n
         lo = hi
 
 
+def _power_table(base: int, size: int) -> np.ndarray:
+    p = np.full(size, np.uint64(base), dtype=np.uint64)
+    p[0] = 1
+    return np.cumprod(p, dtype=np.uint64)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
+    if n > KEPT_POWERS:      # one very long document: made for it alone, so workers don't hold it for life
+        return _power_table(_BASE, n), _power_table(_INVERSE, n)
     if len(_powers) < n:
-        size = max(n, 2 * len(_powers))
-        out = []
-        for base in (_BASE, _INVERSE):
-            p = np.full(size, np.uint64(base), dtype=np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        _powers, _inverses = out
+        size = min(KEPT_POWERS, max(n, 2 * len(_powers)))
+        _powers, _inverses = _power_table(_BASE, size), _power_table(_INVERSE, size)
     return _powers[:n], _inverses[:n]
 
 
@@ -79,6 +84,21 @@ def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((h[end] - h[start]) * inv[start] + (end - start).astype(np.uint64))
 
 
+LONG_WORD = 32    # bytes
+
+
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit identity of the words [start, end) of a slab.
+
+    A polynomial modulo 2**64 gives some unlike strings one value whatever its base is (Thue-Morse strings
+    and their complements, from 1,024 symbols on), so words above ``LONG_WORD`` bytes get XXH3 of their bytes.
+    """
+    out = span_hash(prefix_hash(data), start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i]:end[i]].tobytes())
+    return out
+
+
 _KIND = np.full(256, 2, dtype=np.uint8)          # other signs
 _KIND[[9, 10, 11, 12, 13, 32]] = 0               # white space
 for _lo, _hi in ((48, 57), (65, 90), (97, 122), (128, 255)):

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from martlake.llm.repeats import LAST, Plan, _runs, remove_repeats
-from martlake.llm.slabs import prefix_hash, span_hash, words
+from martlake.llm.slabs import prefix_hash, span_hash, word_hash, words
 
 WINDOW = 50
 GRAM = 8
@@ -30,7 +30,7 @@ MEMORY = 1 << 17
 
 def _words(data: np.ndarray, off: np.ndarray):
     start, end, doc = words(data, off)
-    return span_hash(prefix_hash(data), start, end), np.searchsorted(doc, np.arange(len(off))), start, end
+    return word_hash(data, start, end), np.searchsorted(doc, np.arange(len(off))), start, end
 
 
 def _keep(data: np.ndarray, b0: np.ndarray, b1: np.ndarray, mask: np.ndarray) -> bytes:

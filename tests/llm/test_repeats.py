@@ -138,3 +138,18 @@ def test_copies_across_many_parts(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit(text), F.when(F.col("id") % 2 == 0, " tail").otherwise("")).alias("text"))
     got = suffix_dedup.dedup_bytes(docs).toPandas().set_index("doc_id")
     assert got.n_removed[0] == 0 and (got.n_removed[2:] == got.n_bytes[2:]).all() and got.n_removed[1] == got.n_bytes[1]
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """Thue-Morse words and their complements hash alike modulo 2**64, whatever the base; they differ here."""
+    one = _thue_morse(1024)
+    other = one.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(50)]
+    docs = [(1, " ".join(words[:25] + [one] + words[26:])), (2, " ".join(words[:25] + [other] + words[26:])),
+            (3, " ".join(words[:25] + [one] + words[26:]))]
+    got = substring_dedup.dedup_words(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 0, 2: 0, 3: 50}
