@@ -270,17 +270,39 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          max_bits: int = 2) -> DataFrame:
     """``docs`` (all columns) with one document of each group: the one with the smallest id.
 
-    Rows that repeat an id are one document and one of them stays; rows without an id
-    name no group and stay.
+    An id that comes with several texts is as many documents, told apart by fingerprint and, where that is
+    the same, by text (the smallest stays); of rows that repeat both id and text one stays.  Rows
+    without an id name no group and stay.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, max_bits)
+    marks = staged(fingerprints(docs, id_col, text_col, shingle).filter("doc_id is not null")
+                   .groupBy("doc_id", "fp").agg(F.count("*").alias("n")), "simhash-fp")
+    # the nodes are the fingerprints themselves: an id with several texts doesn't join their groups
+    distinct = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
+    comp = components(links(distinct.select("fp", F.col("fp").alias("rep")), max_bits))
+    first = (distinct.join(comp, distinct.fp == comp.node, "left").groupBy(F.coalesce("component", "fp").alias("group"))
+             .agg(F.min(F.struct("low", "fp")).alias("first")).select(F.col("first.low").alias("doc_id"), F.col("first.fp").alias("fp")))
+    first = staged(first, "simhash-first")
     # only the ids to go (and ids that repeat) are joined with the texts
-    odd = groups.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("n"))
-    odd = staged(odd.filter("doc_id is not null and (c <> doc_id or n > 1)"), "simhash-odd")
+    stays = marks.join(first.withColumn("stays", F.lit(1)), ["doc_id", "fp"], "left")
+    odd = stays.groupBy("doc_id").agg(F.sum("n").alias("n"), F.count("stays").alias("stays"))
+    odd = staged(odd.filter("n > 1 or stays = 0"), "simhash-odd")
     ident = fresh(docs, "simhash_id")
     key = docs.withColumn(ident, F.col(id_col).cast("long"))
     kept = key.join(odd.select(F.col("doc_id").alias(ident)), ident, "left_anti")
-    again = odd.filter("c = doc_id").select(F.col("doc_id").alias(ident))
+    again = odd.filter("n > 1 and stays > 0").select(F.col("doc_id").alias(ident))
     if not again.isEmpty():
-        kept = kept.unionByName(key.join(again, ident, "left_semi").dropDuplicates([ident]))
+        kept = kept.unionByName(_first_of_repeated(key.join(again, ident, "left_semi"), first, ident, text_col, shingle))
     return kept.select(*docs.columns)
+
+
+def _first_of_repeated(rows: DataFrame, first: DataFrame, ident: str, text_col: str, shingle: int) -> DataFrame:
+    """Of rows whose id repeats, those that stay: the ones with an (id, fingerprint) of ``first``, by the
+    smallest text of each, once."""
+    its_id, its_text = fresh(rows, "simhash_of"), fresh(rows, "simhash_text")
+    texts = rows.select(F.col(ident).alias("doc_id"), F.col(text_col).cast("string").alias("text")).distinct()
+    texts = staged(texts.withColumn("number", F.monotonically_increasing_id()), "simhash-texts")
+    marked = texts.join(fingerprints(texts.select("number", "text"), "number", "text", shingle).toDF("number", "fp"), "number")
+    stay = staged(marked.join(first, ["doc_id", "fp"]).groupBy("doc_id", "fp").agg(F.min(F.struct(
+        F.col("text").isNull().alias("none"), "text")).alias("t")).select("doc_id", "t.text"), "simhash-stay")
+    same = (F.col(ident) == F.col(its_id)) & F.col(text_col).cast("string").eqNullSafe(F.col(its_text))
+    return rows.join(stay.toDF(its_id, its_text), same, "left_semi").dropDuplicates([ident, text_col])

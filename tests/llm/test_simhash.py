@@ -135,3 +135,13 @@ def test_odd_rows(spark, odd, none):
     twice = odd.filter("doc_id = 2")           # repeated rows are one document
     assert simhash.drop_near_duplicates(twice).count() == 1
     assert simhash.simhash_groups(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
+
+
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    """An id that repeats with another text is another document: it goes only with its own group."""
+    rng = random.Random(12)
+    text = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4)]
+    rows = [(1, text[0]), (5, text[0]), (5, text[1]), (6, text[2]), (6, text[3]), (6, text[3]), (7, text[2]), (None, text[0])]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, text[0]), (5, text[1]), (6, text[2]), (6, text[3]), (None, text[0])], key=repr)
