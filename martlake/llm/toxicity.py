@@ -121,8 +121,7 @@ def _raw(texts, automaton) -> np.ndarray:
     return np.fromiter((_feature(*_excess(fold(t), automaton)) for t in texts), dtype=np.float64, count=len(texts))
 
 
-def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", max_patterns: int = 5_000,
-        min_docs: int = 3, min_log_odds: float = 1.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
+def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", min_docs: int = 3, min_log_odds: float = 1.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
     """Learn lexicon and curve from the rows of ``sample`` (text, 0/1 label), which the caller
     bounds (``labelled_sample``)."""
     ship(sample.sparkSession)
@@ -152,7 +151,7 @@ def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", max
                 for g, n in seen.items():
                     row = out.setdefault(g, [0, 0, 0, 0])
                     row[k] += 1
-                    row[2 + k] += min(n, 5)
+                    row[2 + k] += n
                 out[""][2 + k] += sum(words.values())
             yield pa.RecordBatch.from_pydict({"gram": list(out), **{
                 name: [v[i] for v in out.values()] for i, name in enumerate(("c", "t", "oc", "ot"))}})
@@ -174,7 +173,7 @@ def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", max
     tested = max(2, table.count())
     table = (table.filter(t > 0).withColumn("w", odds).withColumn("luck", chance)
              .filter((t >= min_docs) & (F.col("w") >= min_log_odds) & (F.col("luck") >= math.log(tested)))
-             .orderBy(F.desc("luck"), "gram").limit(max_patterns).collect())
+             .orderBy("gram").collect())    # as many as the bounded sample proves
     model = ToxicModel({r["gram"]: float(r["w"]) for r in table}, exceptions, 0.0, 0.0)
 
     def raw(batches):
