@@ -14,12 +14,12 @@ repeated rows are predicted alike; empty input gives an empty table.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from martlake.llm._common import fresh, ship, staged
@@ -37,7 +37,7 @@ FAMILIES = {
 }
 _FAMILY_OF = {code: name for name, codes in FAMILIES.items() for code in codes.split()}
 _PIECE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)

@@ -172,3 +172,12 @@ def test_labelled_sample_is_bounded(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
     labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS label")
     assert 350 < labelled_sample(docs, labels, "label", 500).count() < 650
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else "de") for i, t in enumerate(["the cat sat", "der hund lief"] * 20)],
+                                 "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    odd = spark.createDataFrame([(1, "\u00bd \u00b2 12"), (2, "\u00e9"), (3, "_ 7 \u2167")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.add_language(odd, model).collect()}
+    assert got[1] == "und" and got[2] != "und" and got[3] == "und"
