@@ -358,9 +358,11 @@ def _opens(tail: bytes) -> bool:
 
 
 @lru_cache(maxsize=4)
-def _coder(path: str, pattern: str):
+def _coder(path: str, pattern: str, share: int = 1):
+    """``share`` divides the bounds of states, pairs and pieces that are kept."""
     ranks = read_ranks(path)
-    return regex.compile(pattern), PieceMemo(Transducer(ranks)), Decoder(ranks)
+    made = Transducer(ranks, max_states=250_000 // share, max_pairs=400_000 // share)
+    return regex.compile(pattern), PieceMemo(made, limit=450_000 // share), Decoder(ranks)
 
 
 def encode(text: str | None, path: str, pattern: str) -> np.ndarray:
@@ -370,18 +372,18 @@ def encode(text: str | None, path: str, pattern: str) -> np.ndarray:
 
 
 def add_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-               release: bool = False) -> DataFrame:
+               share: int = 1) -> DataFrame:
     """``(doc_id, ids binary, decoded binary, valid boolean)``: the ids of each text as
     little-endian 32-bit integers, the bytes they decode to, and whether these are UTF-8.
 
-    Python workers live on from task to task and keep the transducer's states with them; ``release``
-    drops these at a task's end, for jobs whose other stages need the memory.
+    Python workers live on from task to task and keep the transducer's states with them.  For jobs whose
+    other stages need the memory a ``share`` above 1 keeps that part of the states only, and drops them at a task's end.
     """
     ship(docs.sparkSession)
     names = ["doc_id", "ids", "decoded", "valid"]
 
     def run(batches):
-        split, memo, decoder = _coder(path, pattern)
+        split, memo, decoder = _coder(path, pattern, share)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -394,7 +396,7 @@ def add_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                     valid.append(not len(own) or int(decoder.states(own)[-1]) == 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()),
                                                   pa.array(decoded, pa.binary()), pa.array(valid)], names=names)
-        if release:
+        if share > 1:
             _coder.cache_clear()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
