@@ -45,7 +45,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 DOMINANCE = 100          # percent
-CHUNK = 1 << 20          # words counted at once
+CHUNK = 1 << 18          # words counted at once
 NODES = 200_000          # trie nodes of a round
 NODE_BYTES = 8 << 20     # bytes of a round's phrases
 SHARE = 8                # a round's prefixes make up about 1/SHARE of all words at most
@@ -93,7 +93,7 @@ def _encode(docs: DataFrame, chunk: int) -> DataFrame:
         yield from flush(texts)
 
     # row groups of a few chunks, so a task holds a few at a time
-    return staged(docs.mapInArrow(run, "lang string, words binary, at binary"), "collocation-chunks", {"parquet.block.size": str(16 << 20)})
+    return staged(docs.mapInArrow(run, "lang string, words binary, at binary"), "collocation-chunks", {"parquet.block.size": str(8 << 20)})
 
 
 def _decode(batches):
