@@ -38,7 +38,7 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: token ids (little-endian 32-bit) and what they decode to, as digests."""
-    coded = bpe.add_tokens(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, release=True)
+    coded = bpe.add_tokens(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, share=5)
     return coded.select("doc_id", F.expr("cast(octet_length(ids) / 4 as long)").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
