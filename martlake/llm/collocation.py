@@ -45,12 +45,15 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 DOMINANCE = 100          # percent
-CHUNK = 1 << 18          # words counted at once
+CHUNK = 1 << 19          # words counted at once
 NODES = 200_000          # trie nodes of a round
 NODE_BYTES = 8 << 20     # bytes of a round's phrases
 SHARE = 8                # a round's prefixes make up about 1/SHARE of all words at most
 SLOTS = 1024             # parts in which equally rare first words are taken
 
+CHUNK_FILES = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+               "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
+
 RIGHT, LEFT, WHOLE = 1, 2, 4
 _BREAK = 0               # chunk-local number of the border between pieces
 # A-Z to a-z, piece separators to a full stop, tab to space
@@ -92,8 +95,8 @@ def _encode(docs: DataFrame, chunk: int) -> DataFrame:
                     texts, size = {}, 0
         yield from flush(texts)
 
-    # row groups of a few chunks, so a task holds a few at a time
-    return staged(docs.mapInArrow(run, "lang string, words binary, at binary"), "collocation-chunks", {"parquet.block.size": str(8 << 20)})
+    # rows are megabytes: sizes are tested at every row (not every hundred), so a task holds few at a time
+    return staged(docs.mapInArrow(run, "lang string, words binary, at binary"), "collocation-chunks", CHUNK_FILES)
 
 
 def _decode(batches):
