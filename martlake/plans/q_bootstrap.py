@@ -21,6 +21,13 @@ def _e(x: float) -> str:
     return f"{x:.17e}"
 
 
+def _between(values: str, p: float) -> str:
+    """Linear interpolation lo + (hi - lo) * fraction, written out: engines round their own form of it differently."""
+    h = f"((COUNT(*) - 1) * {_e(p)})"
+    lo, hi = (f"({values})[CAST({f}({h}) AS BIGINT) + 1]" for f in ("floor", "ceil"))
+    return f"{lo} + ({hi} - {lo}) * ({h} - floor({h}))"
+
+
 def _sql(src_cte: str, src_select: str, iterations=ITERATIONS, seed=SEED, method: str | None = None) -> str:
     label = f"'{method}' AS method, " if method else ""
     tables = "[" + ", ".join("[" + ", ".join(_e(c) for c in row) + "]" for row in B.POISSON_CDF) + "]"
@@ -37,7 +44,7 @@ def _sql(src_cte: str, src_select: str, iterations=ITERATIONS, seed=SEED, method
              f"FROM e, range(0, {iterations}) r(it), range(0, {B.TRIES}) s(t) WHERE t = 0 OR m >= {B.SMALL})")
     return f"""
 SELECT {label}(SELECT SUM(sa) / SUM(ca) - SUM(sb) / SUM(cb) FROM t) AS difference,
-  quantile_cont(diff, 0.025) AS ci_low, quantile_cont(diff, 0.975) AS ci_high,
+  {_between("list_sort(list(diff))", 0.025)} AS ci_low, {_between("list_sort(list(diff))", 0.975)} AS ci_high,
   CAST({iterations} AS BIGINT) AS iterations, COUNT(*) AS valid_iterations, (SELECT COUNT(*) FROM t) AS clusters
 FROM (
   SELECT it, SUM(w * sa) / SUM(w * ca) - SUM(w * sb) / SUM(w * cb) AS diff
