@@ -326,3 +326,10 @@ def test_hot_group_of_quantiles_without_broadcasts(spark):
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
+
+def test_schema_diff_names_what_is_missing_and_unexpected(spark):
+    from martlake.operators.keys import schema_diff
+    tables = {"a": spark.range(2).withColumn("x", F.lit(1)), "b": spark.range(2), "c": spark.range(2).withColumn("extra", F.lit(1))}
+    got = {r["table"]: (r["missing"], r["unexpected"], r["passed"])
+           for r in schema_diff(spark, tables, {"a": ("id", "x"), "b": ("id", "x"), "c": ("id",)}).collect()}
+    assert got == {"a": (0, 0, True), "b": (1, 0, False), "c": (0, 1, False)}
