@@ -2,10 +2,11 @@
 
 Seeds are the runs of ``min_match`` (five) words of the benchmark items.  A Bloom filter of
 the seeds, of a fixed size whatever the benchmark, goes to the executors; documents without a
-seed leave in that one pass.  The seeds that the others hold are joined with the benchmark's,
-which gives the pairs to test; a pair with too few shared seeds to reach the threshold leaves.
+seed leave in that one pass.  The seeds that the others hold are joined with each item's rarest
+ones, as many as a document that reaches the threshold can't miss all of; a pair with too few shared
+seeds leaves, so a stock phrase of many items and documents makes no pairs by itself.
 A pair is then tiled: matches of both word sequences, found by running Karp-Rabin hashes over
-unmarked words, are marked from the longest down, never overlapping, until none of
+unmarked words and compared word by word, are marked from the longest down, never overlapping, until none of
 ``min_match`` words is left.  A document is contaminated by an item when the tiles cover
 ``threshold`` (0.8) of the item's words, in whatever order its passages stand.
 
@@ -18,7 +19,6 @@ documents or an empty benchmark give an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,58 +58,80 @@ def word_ids(text: str | None) -> np.ndarray:
     return _word_hashes(data, np.array([0, len(data)]))[0]
 
 
-def _matches(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
-    """Starts in ``a`` and ``b`` of equal unmarked runs of ``size`` words (running hashes)."""
-    starts, hashes = [], []
-    for words, free in ((a, free_a), (b, free_b)):
-        if len(words) < size:
-            return
-        marked = np.r_[0, np.cumsum(~free)]
+class _Runs:
+    """The unmarked runs of a given number of words of one text, by running hashes."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.hash = words, prefix_hash(words)
+        self.free = np.ones(len(words), dtype=bool)
+
+    def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes."""
+        if len(self.words) < size:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        marked = np.r_[0, np.cumsum(~self.free)]
         at = np.flatnonzero(marked[size:] == marked[:-size])
-        starts.append(at)
-        hashes.append(span_hash(prefix_hash(words), at, at + size))
-    common = np.isin(hashes[1], hashes[0])
-    where: dict[int, list[int]] = {}
-    both = np.isin(hashes[0], hashes[1][common])
-    for i, h in zip(starts[0][both].tolist(), hashes[0][both].tolist()):
-        where.setdefault(h, []).append(i)
-    for j, h in zip(starts[1][common].tolist(), hashes[1][common].tolist()):
-        for i in where.get(h, ()):
-            yield i, j
+        return at, span_hash(self.hash, at, at + size)
+
+    def shares(self, other: _Runs, size: int) -> bool:
+        return bool(np.isin(self.of(size)[1], other.of(size)[1]).any())
+
+
+def _longest(item: _Runs, doc: _Runs, min_match: int, most: int) -> int:
+    """The length of the longest unmarked match, at most ``most`` (0: none of ``min_match``):
+    a shared run holds shared runs of every smaller length, so the length is bisected."""
+    if most < min_match or not item.shares(doc, min_match):
+        return 0
+    low, high = min_match, most
+    while low < high:
+        middle = (low + high + 1) // 2
+        if item.shares(doc, middle):
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _mark(item: _Runs, doc: _Runs, size: int) -> Iterator[tuple[int, int]]:
+    """Mark matches of the longest length, by place in the item and then in the document.  A place
+    of the document that a tile has taken stays taken, so the places of a run are passed once
+    however often it repeats."""
+    at, key = item.of(size)
+    where, held = doc.of(size)
+    order = np.argsort(held, kind="stable")
+    held, where = held[order], where[order]
+    first = np.searchsorted(held, key)
+    here = first < len(held)
+    here[here] = held[first[here]] == key[here]
+    stop = np.searchsorted(held, key, side="right")
+    done: dict[int, int] = {}
+    for i, x, y in zip(at[here].tolist(), first[here].tolist(), stop[here].tolist()):
+        if not item.free[i:i + size].all():
+            continue
+        place = done.get(x, x)
+        while place < y and not doc.free[where[place]:where[place] + size].all():
+            place += 1
+        done[x] = place
+        # equal hashes of different words are passed over, for this run only
+        for j in where[place:y].tolist():
+            if doc.free[j:j + size].all() and np.array_equal(item.words[i:i + size], doc.words[j:j + size]):
+                item.free[i:i + size] = doc.free[j:j + size] = False
+                yield i, j
+                break
 
 
 def tile(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """Tiles ``(start in item, start in doc, words)``, longest first; ties by place."""
-    free_i, free_d = np.ones(len(item), dtype=bool), np.ones(len(doc), dtype=bool)
+    """Tiles ``(start in item, start in doc, words)``, longest first; ties by place.
+
+    Each length costs a bisection and one pass over both texts.  The lengths differ and their sum is at
+    most the item's words, so there are at most about sqrt(2 * words) of them, whatever repeats."""
+    a, b = _Runs(item), _Runs(doc)
     tiles: list[tuple[int, int, int]] = []
-    size = max(min_match, len(item))
-    while True:
-        found = []
-        for i, j in _matches(item, doc, free_i, free_d, size):
-            # a run that goes on to the left is found from its beginning
-            if i and j and free_i[i - 1] and free_d[j - 1] and item[i - 1] == doc[j - 1]:
-                continue
-            n = size
-            while (i + n < len(item) and j + n < len(doc) and free_i[i + n] and free_d[j + n]
-                   and item[i + n] == doc[j + n]):
-                n += 1
-            found.append((-n, i, j))
-        heapq.heapify(found)
-        while found:
-            n, i, j = heapq.heappop(found)
-            free = free_i[i:i - n] & free_d[j:j - n]
-            if free.all():
-                free_i[i:i - n] = free_d[j:j - n] = False
-                tiles.append((i, j, -n))
-                continue
-            # a match that a longer one cut goes on with its unmarked runs
-            edge = np.flatnonzero(np.diff(np.r_[False, free, False]))
-            for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                if y - x >= size:
-                    heapq.heappush(found, (x - y, i + x, j + x))
-        if size == min_match:
-            return sorted(tiles, key=lambda t: (-t[2], t[0], t[1]))
-        size = max(min_match, size // 2)
+    size = _longest(a, b, min_match, min(len(item), len(doc)))
+    while size:
+        tiles += [(i, j, size) for i, j in _mark(a, b, size)]
+        size = _longest(a, b, min_match, size - 1)
+    return tiles
 
 
 def _probe(seeds: np.ndarray) -> list[np.ndarray]:
@@ -136,18 +158,21 @@ def _item_seeds(items: DataFrame, m: int) -> DataFrame:
 
 
 def _bloom(seeds: DataFrame) -> np.ndarray:
-    """Filter of all seeds: a fixed number of tasks send 4 MB each at most."""
+    """Filter of all seeds, joined from the tasks' words of 64 bits: 2**19 rows at most
+    reach the driver, whatever the number of seeds and tasks."""
     def run(batches):
-        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
         for b in batches:
-            for at in _probe(b.column(0).to_numpy().view(np.uint64)):
-                bits[at] = True
-        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(bits).tobytes()]})
-
-    rows = seeds.select("seed").coalesce(8).mapInArrow(run, "bits binary").collect()
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for r in rows:
-        out |= np.frombuffer(r["bits"], dtype=np.uint8)
+            at = np.unique(np.concatenate(_probe(b.column(0).to_numpy().view(np.uint64))))
+            bit = np.uint64(1) << (at & np.uint64(63))
+            word = (at >> np.uint64(6)).astype(np.int64)
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.empty(0, np.int64)
+            bits = np.bitwise_or.reduceat(bit, first).view(np.int64) if len(first) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(bits)], names=["word", "bits"])
+
+    rows = (seeds.select("seed").mapInArrow(run, "word long, bits long")
+            .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
 
 
@@ -163,7 +188,7 @@ def _holders(docs: DataFrame, bloom: np.ndarray, m: int) -> DataFrame:
                 seed, own = _seeds(word, doc, m)
                 for k in range(PROBES):
                     at = _probe(seed)[k].astype(np.int64)
-                    ok = (bloom[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 != 0
+                    ok = (bloom[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
                     seed, own = seed[ok], own[ok]
                 if len(seed):
                     cut = np.r_[np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), len(own)]
@@ -196,36 +221,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     held = staged(_holders(src, _bloom(seeds), min_match).withColumn("row", F.monotonically_increasing_id()), "decontam-held")
     # n words covered by tiles of min_match or more hold at least n / min_match seeds; a seed
     # that the item repeats counts once, so the bound is that of one for such items
-    distinct = seeds.groupBy("item").agg(F.count("*").alias("n_seeds"))
     need = F.when(F.col("n_seeds") == F.col("n_words") - (min_match - 1),
-                  F.ceil(threshold * F.col("n_words") / min_match)).otherwise(1)
-    pairs = (held.select("row", F.explode("hits").alias("seed")).join(seeds, "seed")
-             .groupBy("row", "item", "n_words").agg(F.count("*").alias("shared"))
-             .join(distinct, "item").filter(F.col("shared") >= need)
-             .join(items.select("item", "item_id", F.col("text").alias("item_text")), "item")
-             .groupBy("row").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items")))
+                  F.ceil(threshold * F.col("n_words") / min_match)).otherwise(1).cast("int")
+    own = held.select("row", F.explode("hits").alias("seed"))
+    held_by = staged(own.groupBy("seed").agg(F.count("*").alias("rows")).join(seeds.select("seed").distinct(), "seed"), "decontam-counts")
+    # a document with ``need`` of the n seeds has one of any n - need + 1 of them, so of the rarest
+    rare = (seeds.join(held_by, "seed", "left")
+            .groupBy("item").agg(F.first("n_words").alias("n_words"), F.count("*").alias("n_seeds"),
+                                 F.sort_array(F.collect_list(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "seed"))).alias("all"))
+            .select("item", need.alias("need"), F.col("all.seed").alias("seeds"),
+                    F.slice("all", F.lit(1), F.col("n_seeds").cast("int") - need + 1).alias("rare"))
+            .filter(F.size("seeds") >= F.col("need")))
+    rare = staged(rare, "decontam-rare")
+    probes = rare.select("item", F.explode("rare").alias("rare")).filter("rare.rows > 0").select("item", F.col("rare.seed").alias("seed"))
+    # numbers only up to here; the texts join each pair
+    pairs = staged(own.join(probes, "seed").select("row", "item").distinct(), "decontam-pairs")
+    counted = (pairs.join(rare.select("item", "need", "seeds"), "item").join(held.select("row", "hits"), "row")
+               .filter(F.size(F.array_intersect("hits", "seeds")) >= F.col("need")).select("row", "item"))
 
     def run(batches):
         for b in batches:
             out = []
-            for doc_id, digest, text, own in zip(*(b.column(c).to_pylist() for c in range(4))):
-                doc = word_ids(text)
-                for item_id, item_text in sorted(((x["item_id"], x["item_text"]) for x in own),
-                                                 key=lambda x: (x[0] is None, x[0] or 0, x[1])):
-                    item = word_ids(item_text)
-                    tiles = tile(item, doc, min_match)
-                    covered = sum(t[2] for t in tiles)
-                    if covered >= threshold * len(item):
-                        out.append({"doc_id": doc_id, "digest": digest, "item_id": item_id, "n_words": len(item), "n_covered": covered,
-                                    "coverage": covered / len(item),
-                                    "tiles": [dict(zip(("item", "doc", "words"), t)) for t in tiles]})
+            for doc_id, digest, text, item_id, item_text in zip(*(b.column(c).to_pylist() for c in range(5))):
+                item = word_ids(item_text)
+                tiles = tile(item, word_ids(text), min_match)
+                covered = sum(t[2] for t in tiles)
+                if covered >= threshold * len(item):
+                    out.append({"doc_id": doc_id, "digest": digest, "item_id": item_id, "n_words": len(item), "n_covered": covered,
+                                "coverage": covered / len(item),
+                                "tiles": [dict(zip(("item", "doc", "words"), t)) for t in tiles]})
             schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("item_id", pa.int64()),
                                 ("n_words", pa.int32()), ("n_covered", pa.int32()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct(
                                     [("item", pa.int32()), ("doc", pa.int32()), ("words", pa.int32())])))])
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return (held.join(pairs, "row").select("doc_id", F.xxhash64("text").alias("digest"), "text", "items")
-            .mapInArrow(run, MATCH))
+    return (counted.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item").join(held, "row")
+            .select("doc_id", F.xxhash64("text").alias("digest"), "text", "item_id", "item_text").mapInArrow(run, MATCH))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -301,6 +301,39 @@ def _words(rng, n):
     return ["".join(rng.choice("abcdefghijklm") for _ in range(5)) for _ in range(n)]
 
 
+def test_tiling_of_repetitive_texts_is_bounded(monkeypatch):
+    same = np.full(2_000, 7, dtype=np.uint64), np.full(17_385, 7, dtype=np.uint64)
+    cycle = (np.arange(2_000) % 7 + 1).astype(np.uint64), (np.arange(17_385) % 11 + 1).astype(np.uint64)
+    passes = []
+    shares = decontam._Runs.shares
+    monkeypatch.setattr(decontam._Runs, "shares", lambda a, b, n: passes.append(n) or shares(a, b, n))
+    assert decontam.tile(*same) == [(0, 0, 2_000)]
+    tiles = decontam.tile(*cycle)
+    assert len(passes) < 64 * 12                       # lengths that differ, each bisected
+    for side, words in ((0, 2_000), (1, 17_385)):
+        taken = np.concatenate([np.arange(t[side], t[side] + t[2]) for t in tiles])
+        assert len(np.unique(taken)) == len(taken) and taken.max() < words
+
+
+def test_stock_phrase_makes_no_pairs(spark, tmp_path, monkeypatch):
+    stock = "as stated in the rules above"
+    items = [(i, " ".join([f"q{i}w{j}" for j in range(30)]) + " " + stock) for i in range(40)]
+    docs = [(i, f"d{i}a d{i}b {stock} d{i}c") for i in range(60)] + [(100 + i, f"x {items[i][1]} y") for i in range(5)]
+    sizes = {}
+    staged = decontam.staged
+
+    def watch(df, name, *rest):
+        out = staged(df, name, *rest)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontam, "staged", watch)
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(100 + i, i) for i in range(5)}
+    assert sizes["decontam-held"] == 65 and sizes["decontam-pairs"] == 5      # not 65 x 40
+
+
 def test_decontamination_query(spark, table_dir):
     rng = random.Random(11)
     items = [_words(rng, 40) for _ in range(12)]
