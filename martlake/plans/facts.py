@@ -5,13 +5,11 @@ reviews) to the order grain *before* joining; this is semantic, not only a
 speed-up.  All joins are LEFT joins from the fact grain, so orphan keys stay
 visible as null dimensions.
 
-Shuffle layout: the three per-order aggregates come out hash-partitioned on
-``order_id``; the order header is shuffled on ``order_id`` once after its
-``customer_id`` join, and the remaining joins are co-partitioned (no further
-exchange).  Dimension joins (customers, products, sellers) are left to AQE,
+Shuffle layout: everything keyed by ``order_id`` is joined first, then customers and the
+other dimensions.  Silver is stored by buckets of ``order_id``, so on silver the per-order
+aggregates and these joins need no exchange; on other sources each side is exchanged once.
+Dimension joins (customers, products, sellers, translation) are left to AQE,
 which broadcasts a side only when its measured size is under the threshold.
-Only the category translation table is broadcast explicitly: it is bounded by
-the number of categories, not by data volume.
 """
 
 from __future__ import annotations
@@ -43,18 +41,14 @@ def reviews_by_order(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(F.avg("review_score").alias("review_score"))
 
 
-def order_header(s: RetailSources) -> DataFrame:
-    """Orders with the customer identity and state (left join on customer_id)."""
-    customers = s.customers.select("customer_id", "customer_unique_id", "customer_state")
-    return s.orders.join(customers, "customer_id", "left")
-
-
 def fact_orders(s: RetailSources) -> DataFrame:
     """One row per order with item totals, payments, reviews and delivery."""
-    f = (order_header(s)
+    customers = s.customers.select("customer_id", "customer_unique_id", "customer_state")
+    f = (s.orders
          .join(item_totals(s.order_items), "order_id", "left")
          .join(payments_by_order(s.order_payments), "order_id", "left")
-         .join(reviews_by_order(s.order_reviews), "order_id", "left"))
+         .join(reviews_by_order(s.order_reviews), "order_id", "left")
+         .join(customers, "customer_id", "left"))
     return f.select(
         "order_id", "customer_id", "customer_unique_id", "customer_state", "order_status",
         "order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date",

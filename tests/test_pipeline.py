@@ -3,6 +3,7 @@
 import csv
 import json
 import os
+import re
 import tempfile
 
 import pytest
@@ -244,3 +245,39 @@ def test_fractions_are_kept_or_refused_never_cut(spark, tmp):
     assert typed.order_reviews.first()["review_score"] == 5.9 and typed.order_items.first()["order_item_id"] is None
     report = {r["check"]: r for r in quality_report(spark, typed).collect()}
     assert not report["review_score between 1 and 5"]["passed"]
+
+
+def test_order_tables_join_without_exchange(spark, tmp):
+    """Facts over bucketed silver: nothing is exchanged by order, and the rows are those over plain silver."""
+    from martlake.operators import reconcile
+    from martlake.plans import facts, pipeline
+    from martlake.sources.bindings import RetailSources, bind_sources
+    from martlake.sources.bucketed import read_bucketed, write_bucketed
+    from martlake.sources.silver import to_silver
+    source = to_silver(bind_sources(spark, "/root/testdata/sf0.001"))
+    for table, df in source.as_dict().items():
+        if table in pipeline.BY_ORDER:
+            write_bucketed(df, f"{tmp}/s/{table}", "order_id", 5)
+        else:
+            df.write.parquet(f"{tmp}/s/{table}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        silver = RetailSources(**pipeline.read_layer(spark, f"{tmp}/s"))
+        for make in (facts.fact_orders, facts.fact_order_items):
+            over, plain = make(silver), make(source)
+            rows = sorted(map(str, over.collect()))
+            assert rows == sorted(map(str, plain.collect())) and rows
+            plan = over._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert "SelectedBucketsCount: 5 out of 5" in plan
+            assert not re.search(r"Exchange hashpartitioning\(order_id", plan)
+            assert re.search(r"Exchange hashpartitioning\(customer_id", plan)
+        r = reconcile.payment_reconciliation(silver.order_payments, silver.order_items)
+        r.collect()
+        assert "Exchange hashpartitioning(order_id" not in r._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # written over, the folder is plain again
+    source.order_payments.limit(3).write.mode("overwrite").parquet(f"{tmp}/s/order_payments")
+    assert read_bucketed(spark, f"{tmp}/s/order_payments").count() == 3
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
