@@ -6,8 +6,9 @@ documents: words and word beginnings of four to seven letters whose document fre
 among toxic documents is far above that among others and could not be chance among all
 beginnings tested, weighted by the smoothed log ratio of their rates in the two classes;
 near copies count once.
-Counting runs in Spark over a sample of labelled rows that the caller bounds; the lexicon
-is bounded by ``max_patterns``.  Exception phrases cancel the matches inside them.  The summed weights of
+Counting runs in Spark over a sample of labelled rows that the caller bounds.  Exception phrases
+cancel the matches inside them: a few given ones, and those learned as a lexicon word with a
+neighbour that makes it harmless by the labels.  The summed weights of
 a text, normalised by its length, become a probability by a logistic curve fitted on the
 same sample.
 
@@ -121,9 +122,52 @@ def _raw(texts, automaton) -> np.ndarray:
     return np.fromiter((_feature(*_excess(fold(t), automaton)) for t in texts), dtype=np.float64, count=len(texts))
 
 
+def _learned_exceptions(src: DataFrame, table: DataFrame, patterns: dict[str, float], share: float, min_docs: int) -> tuple[str, ...]:
+    """Phrases of two words in which a pattern's word is harmless: of the sample's documents that hold
+    the phrase no more than the base share are toxic, and that few can't be chance (Chernoff
+    exponent against the pattern's other documents, for as many phrases as are tested)."""
+    lexicon = ToxicModel(patterns, (), 0.0, 0.0)
+
+    def phrases(batches):
+        a = lexicon.automaton()
+        for b in batches:
+            out: dict[tuple[str, str], list[int]] = {}
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                folded = fold(text)
+                best: dict[int, str] = {}
+                for end, (size, weight) in a.iter(folded) if len(a) else ():
+                    at, p = end - size + 1, folded[end - size + 1:end + 1]
+                    if at not in best or (weight, p) > (patterns[best[at]], best[at]):
+                        best[at] = p
+                seen, place = set(), 0
+                words = folded.split()
+                for i, w in enumerate(words):
+                    if place in best:
+                        seen.update((" ".join(words[x:x + 2]), best[place]) for x in (i - 1, i) if 0 <= x < len(words) - 1)
+                    place += len(w) + 1
+                for pair in seen:
+                    out.setdefault(pair, [0, 0])[1 if y else 0] += 1
+            yield pa.RecordBatch.from_pydict({
+                "phrase": pa.array([p for p, _ in out], pa.string()), "gram": pa.array([g for _, g in out], pa.string()),
+                "pc": pa.array([v[0] for v in out.values()], pa.int64()), "pt": pa.array([v[1] for v in out.values()], pa.int64())})
+
+    found = (src.mapInArrow(phrases, "phrase string, gram string, pc long, pt long").groupBy("phrase", "gram")
+             .agg(F.sum("pc").alias("pc"), F.sum("pt").alias("pt")).filter(F.col("pc") + F.col("pt") >= min_docs))
+    found = staged(found, "toxic-phrases")
+    tested = max(2, found.count())
+    pc, pt = F.col("pc"), F.col("pt")
+    n = pc + pt
+    other = (F.col("t") - pt + 0.5) / (F.col("t") + F.col("c") - n + 1.0)     # the pattern's share elsewhere
+    luck = (F.when(pt > 0, pt * F.log(pt / n / other)).otherwise(0.0)
+            + F.when(pc > 0, pc * F.log(pc / n / (1 - other))).otherwise(0.0))
+    rows = (found.join(table.select("gram", "c", "t"), "gram")
+            .filter((pt <= share * n) & (pt / n < other) & (luck >= math.log(tested))).select("phrase").distinct().collect())
+    return tuple(sorted(r["phrase"] for r in rows))
+
+
 def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", min_docs: int = 3, min_log_odds: float = 1.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
-    """Learn lexicon and curve from the rows of ``sample`` (text, 0/1 label), which the caller
-    bounds (``labelled_sample``)."""
+    """Learn lexicon, exception phrases (besides the given ``exceptions``) and curve from the rows of
+    ``sample`` (text, 0/1 label), which the caller bounds (``labelled_sample``)."""
     ship(sample.sparkSession)
 
     @F.pandas_udf("string")
@@ -171,10 +215,13 @@ def fit(sample: DataFrame, text_col: str = "text", label_col: str = "label", min
     words = table.filter("gram = ''").first()
     odds = (F.log((F.col("ot") + 0.5) / (words["ot"] + 1.0)) - F.log((F.col("oc") + 0.5) / (words["oc"] + 1.0)))
     tested = max(2, table.count())
-    table = (table.filter(t > 0).withColumn("w", odds).withColumn("luck", chance)
+    proven = (table.filter(t > 0).withColumn("w", odds).withColumn("luck", chance)
              .filter((t >= min_docs) & (F.col("w") >= min_log_odds) & (F.col("luck") >= math.log(tested)))
              .orderBy("gram").collect())    # as many as the bounded sample proves
-    model = ToxicModel({r["gram"]: float(r["w"]) for r in table}, exceptions, 0.0, 0.0)
+    patterns = {r["gram"]: float(r["w"]) for r in proven}
+    learned = _learned_exceptions(src, table, patterns, share, min_docs)
+    exceptions = (*exceptions, *(p for p in learned if p not in exceptions))
+    model = ToxicModel(patterns, exceptions, 0.0, 0.0)
 
     def raw(batches):
         a = model.automaton()

@@ -181,3 +181,18 @@ def test_numbers_are_no_letters(spark):
     odd = spark.createDataFrame([(1, "\u00bd \u00b2 12"), (2, "\u00e9"), (3, "_ 7 \u2167")], "doc_id long, text string")
     got = {r["doc_id"]: r["lang_pred"] for r in langid.add_language(odd, model).collect()}
     assert got[1] == "und" and got[2] != "und" and got[3] == "und"
+
+
+def test_exception_phrases_are_learned(spark):
+    """A harmless neighbour of a toxic word is learned from labels, one seen too rarely isn't."""
+    rng = random.Random(3)
+    filler = lambda: " ".join("".join(rng.choice("bcdfghklmn") for _ in range(6)) for _ in range(12))
+    rows = [(f"{filler()} zorgon {filler()}", 1) for _ in range(60)]
+    rows += [(f"{filler()} zorgon lantern {filler()}", 0) for _ in range(25)] + [(f"{filler()} zorgon kettle {filler()}", 0)]
+    rows += [(filler(), 0) for _ in range(250)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
+    learned = set(model.exceptions) - set(toxicity.EXCEPTIONS)
+    assert " zorgon " in model.patterns
+    assert learned == {"zorgon lantern"}
+    bad, fine, rare = toxicity.score_texts(model, ["a zorgon b", "a zorgon lantern b", "a zorgon kettle b"])
+    assert fine < 0.3 <= min(bad, rare)
