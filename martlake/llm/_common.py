@@ -2,35 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlake.session import checkpoint_dir
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors through Spark's own file server (once per
-    application), so Python workers can import it wherever they run."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="martlake-ship-"), "martlake_code.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _, names in os.walk(os.path.join(root, "martlake")):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(base, name)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
+from martlake.session import checkpoint_dir, ship  # noqa: F401
 
 def staged(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the folder in ``spark.checkpoint.dir`` and read it back: cuts

@@ -13,6 +13,7 @@ from martlake.operators import reconcile as RO
 from martlake.plans import quality as Q
 from martlake.plans.catalog import query
 from martlake.plans.oracle import with_ctes
+from martlake.session import written
 from martlake.sources import contracts as K
 from martlake.sources.bindings import bind_sources
 
@@ -196,18 +197,30 @@ def q_multi_review_rate(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- schema
+# The bound tables keep their contract.  So that the check is seen to find both kinds of failure, two
+# tables are also written altered: one without a column, one with another.
+ALTERED = {"sellers without seller_state": ("sellers", 1, 0), "customers with loyalty": ("customers", 0, 1)}
+
+
 def _schema_sql():
+    given = {t: (t, 0, 0) for t in K.EXPECTED_COLUMNS}
     return with_ctes(sorted(set(BRONZE_CTE.values())), "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS \"table\", CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unexpected, true AS passed, "
-        f"COUNT(*) AS rows FROM {BRONZE_CTE[t]}" for t in K.EXPECTED_COLUMNS))
+        f"SELECT '{name}' AS \"table\", CAST({missing} AS BIGINT) AS missing, CAST({unexpected} AS BIGINT) AS unexpected, "
+        f"{'false' if missing or unexpected else 'true'} AS passed, COUNT(*) AS rows FROM {BRONZE_CTE[t]}"
+        for name, (t, missing, unexpected) in (given | ALTERED).items()))
 
 
 @query("schema_contracts", _schema_sql())
 def q_schema_contracts(spark, sf_dir):
-    """Column-set equality per table as it is bound, with its rows."""
+    """Column-set equality per table as written and read back, with the rows read: the nine tables as
+    they are bound, and the two altered ones."""
     tables = bind_sources(spark, sf_dir).as_dict()
+    tables["sellers without seller_state"] = tables["sellers"].drop("seller_state")
+    tables["customers with loyalty"] = tables["customers"].withColumn("loyalty", F.lit(1))
+    tables = {t: written(df) for t, df in tables.items()}
+    expected = K.EXPECTED_COLUMNS | {name: K.EXPECTED_COLUMNS[t] for name, (t, _, _) in ALTERED.items()}
     counts = reduce(DataFrame.unionByName, [df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows")) for t, df in tables.items()])
-    return KO.schema_diff(spark, tables, K.EXPECTED_COLUMNS).join(counts, "table")
+    return KO.schema_diff(spark, tables, expected).join(counts, "table")
 
 
 # ---------------------------------------------------------------- 35-check report
