@@ -1,9 +1,9 @@
 """Queries over small tables of the driver's schema, made here: repeated keys, rows without a partner."""
 
 import datetime as dt
+import hashlib
 
-
-
+import numpy as np
 import pytest
 
 
@@ -35,3 +35,29 @@ def test_schema_contracts_meet_both_failures(spark, sf):
     assert got.pop("sellers without seller_state") == (1, 0, False, 4)
     assert got.pop("customers with loyalty") == (0, 1, False, 8)
     assert got["sellers"] == (0, 0, True, 4) and len(got) == 9 and all(passed for _, _, passed, _ in got.values())
+
+
+def _weights(cluster: str, iterations: int, seed: int = 42) -> list[int]:
+    """Poisson(1) weights of one cluster, written out apart from the operator."""
+    import math
+    cdf = [math.exp(-1.0) * sum(1.0 / math.factorial(j) for j in range(k + 1)) for k in range(14)]
+    h, out = int(hashlib.md5(f"{cluster}:{seed}".encode()).hexdigest()[:8], 16), []
+    for it in range(iterations):
+        x = h ^ (it * 0x9E3779B1 & 0xFFFFFFFF)
+        for _ in range(2):
+            x = (x >> 16 ^ x) * 0x45D9F3B & 0xFFFFFFFF
+        u = (x >> 16 ^ x) / 2 ** 32
+        out.append(sum(u >= c for c in cdf))
+    return out
+
+
+def test_bootstrap_draws_every_cluster_on_its_own(spark):
+    """Clusters of equal totals have weights of their own in each iteration."""
+    from martlake.operators.bootstrap import bootstrap_diff
+    rows = [(f"c{i}", i % 2 == 0, float(i % 4 < 2)) for i in range(60)] + [(f"c{i}", i % 2 == 1, 2.5) for i in range(7)]
+    got = bootstrap_diff(spark.createDataFrame(rows, "c string, g boolean, v double"), cluster="c", group="g", value="v", iterations=120).first()
+    w = {f"c{i}": np.array(_weights(f"c{i}", 120)) for i in range(60)}
+    mean = lambda g: sum(w[c] * v for c, at, v in rows if at == g) / sum(w[c] for c, at, _ in rows if at == g)
+    low, high = np.quantile(mean(True) - mean(False), [0.025, 0.975])
+    assert (got["ci_low"], got["ci_high"]) == pytest.approx((low, high), rel=1e-12)
+    assert got["clusters"] == 60 and got["valid_iterations"] == 120
