@@ -40,27 +40,27 @@ def q_reviews_by_order(spark, sf_dir):
 @query("mart_monthly_sales", with_ctes(["mart_monthly_sales"], "SELECT * FROM mart_monthly_sales"))
 def q_mart_monthly_sales(spark, sf_dir):
     """A4: monthly sales mart."""
-    return marts.mart_monthly_sales(facts.fact_orders(silver(spark, sf_dir)))
+    return marts.mart_monthly_sales(facts.fact_orders(silver(spark, sf_dir), marts.READS["mart_monthly_sales"]))
 
 
 @query("mart_category_performance",
        with_ctes(["mart_category_performance"], "SELECT * FROM mart_category_performance"))
 def q_mart_category_performance(spark, sf_dir):
     """A5: category mart."""
-    return marts.mart_category_performance(facts.fact_order_items(silver(spark, sf_dir)))
+    return marts.mart_category_performance(facts.fact_order_items(silver(spark, sf_dir), marts.READS["mart_category_performance"]))
 
 
 @query("mart_customer_value", with_ctes(["mart_customer_value"], "SELECT * FROM mart_customer_value"))
 def q_mart_customer_value(spark, sf_dir):
     """Customer value mart."""
-    return marts.mart_customer_value(facts.fact_orders(silver(spark, sf_dir)))
+    return marts.mart_customer_value(facts.fact_orders(silver(spark, sf_dir), marts.READS["mart_customer_value"]))
 
 
 @query("mart_seller_performance",
        with_ctes(["mart_seller_performance"], "SELECT * FROM mart_seller_performance"))
 def q_mart_seller_performance(spark, sf_dir):
     """Seller mart."""
-    return marts.mart_seller_performance(facts.fact_order_items(silver(spark, sf_dir)))
+    return marts.mart_seller_performance(facts.fact_order_items(silver(spark, sf_dir), marts.READS["mart_seller_performance"]))
 
 
 _GEO_BY_ZIP_SQL = with_ctes(["s_geolocation"], """

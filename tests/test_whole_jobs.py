@@ -61,3 +61,39 @@ def test_bootstrap_draws_every_cluster_on_its_own(spark):
     low, high = np.quantile(mean(True) - mean(False), [0.025, 0.975])
     assert (got["ci_low"], got["ci_high"]) == pytest.approx((low, high), rel=1e-12)
     assert got["clusters"] == 60 and got["valid_iterations"] == 120
+
+
+@pytest.mark.parametrize("key", ["mart_seller_performance", "mart_category_performance", "mart_monthly_sales", "mart_customer_value"])
+def test_narrow_fact_keeps_the_rows(spark, sf, key):
+    """A mart over the columns that it reads is the mart over the whole fact, though customers, parts and suppliers repeat."""
+    from martlake.plans import facts, marts
+    from martlake.plans.catalog import silver
+    fact = facts.fact_orders if key in ("mart_monthly_sales", "mart_customer_value") else facts.fact_order_items
+    s, make = silver(spark, sf), getattr(marts, key)
+    whole, narrow = ([*map(str, sorted(make(f).collect(), key=str))] for f in (fact(s), fact(s, marts.READS[key])))
+    assert whole == narrow and whole
+    a, b = fact(s).select(*marts.READS[key]), fact(s, marts.READS[key])
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_seller_mart_makes_the_fact_once(spark, sf):
+    """The lines are exchanged by order once, and dimensions that give no column to the mart are not joined."""
+    from martlake.plans import facts, marts
+    from martlake.plans.catalog import silver
+    from martlake.sources.bindings import RetailSources
+    s = silver(spark, sf)
+    s = RetailSources(**s.as_dict() | {"customers": s.customers.dropDuplicates(["customer_id"]), "products": s.products.dropDuplicates(["product_id"])})
+    plan = marts.mart_seller_performance(facts.fact_order_items(s, marts.READS["mart_seller_performance"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") <= 1 and plan.count("l_extendedprice#") and "p_partkey" not in plan and "c_custkey" not in plan
+    assert plan.count("lineitem.parquet") <= 1 and sum("Join" in line for line in plan.splitlines()) <= 4
+
+
+def test_seller_mart_over_several_states(spark):
+    """Distinct orders, the most frequent state and the means of a seller whose rows name several states."""
+    from martlake.plans.marts import mart_seller_performance
+    rows = [("s", 1, "B", 1.5, 4.0, True), ("s", 1, "A", 1.0, 2.0, False), ("s", 2, "A", 0.25, None, None), ("s", 2, "B", 1.0, 3.0, None),
+            ("s", 3, None, 2.0, None, True), ("s", None, None, 1.0, None, None), (None, 1, None, 4.0, None, None), (None, 1, "C", 4.0, None, None)]
+    df = spark.createDataFrame([(*r, "delivered") for r in rows], "seller_id string, order_id long, seller_state string, price double, "
+                               "review_score double, is_late boolean, order_status string")
+    got = {r["seller_id"]: tuple(r)[1:] for r in mart_seller_performance(df).collect()}
+    assert got == {"s": ("A", 3, 6.75, 3.0, pytest.approx(2 / 3)), None: ("C", 1, 8.0, None, None)}
