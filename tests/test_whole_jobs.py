@@ -97,3 +97,14 @@ def test_seller_mart_over_several_states(spark):
                                "review_score double, is_late boolean, order_status string")
     got = {r["seller_id"]: tuple(r)[1:] for r in mart_seller_performance(df).collect()}
     assert got == {"s": ("A", 3, 6.75, 3.0, pytest.approx(2 / 3)), None: ("C", 1, 8.0, None, None)}
+
+
+def test_counts_of_facts_by_their_keys(spark, sf):
+    """Rows that repeated customers, parts and suppliers add to the facts are counted."""
+    import __spark_entry__ as entry
+    from martlake.plans import facts
+    from martlake.plans.catalog import silver
+    s = silver(spark, sf)
+    got = {r["table_name"]: r["rows"] for r in entry.queries()["layer_row_counts"](spark, sf).filter("layer = 'gold'").collect()}
+    assert got["fact_orders"] == facts.fact_orders(s).count() > s.orders.count()
+    assert got["fact_order_items"] == facts.fact_order_items(s).count() > s.order_items.count()
