@@ -7,8 +7,10 @@ index vector, and a slot's word vector is the sum of the index vectors of its ne
 block table; Spark adds the tables, so the vectors cover all documents while what reaches
 the driver has a fixed size (``BUCKETS * DIM`` numbers).  A document is pooled into the
 frequency-damped mean and spread of its word vectors, the length of its mean index vector
-(which measures repetition) and its size.  The network is fitted on a bounded sample of
-labelled rows, a fifth of which is held back to fit the temperature.
+(which measures repetition) and its size.  Both passes work column by column: one column
+of all slots fits in a core's cache, the gathered rows of all columns don't.  The network is
+fitted on a bounded sample of labelled rows, a fifth of which is held back to fit the
+temperature.
 
 Defined cases: null and empty texts have the all-zero pooled vector and get the network's
 score for it; training rows of one class only give the constant share of that class; rows
@@ -18,6 +20,7 @@ are scored one by one, so repeated rows score alike; empty input gives an empty
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,8 +38,10 @@ NONZERO = 4
 WINDOW = 2
 PIECE = 1 << 17           # tokens handled at a time
 DAMP = 1e-3
+FIELD = 26                # bits from one whole number to the next in a packed pair
 
 
+@lru_cache(1)
 def index_vectors() -> np.ndarray:
     """The fixed sparse ternary index vector of every slot."""
     rng = np.random.default_rng(20240607)
@@ -46,6 +51,19 @@ def index_vectors() -> np.ndarray:
     return out
 
 
+@lru_cache(1)
+def _index_pairs() -> np.ndarray:
+    """Columns of the index vectors two at a time, ``a + b * 2**FIELD``, and a zero for no slot.
+    Sums of up to ``2 * WINDOW * PIECE`` of them are exact, and so is ``_unpacked``."""
+    index = index_vectors().astype(np.float64)
+    return np.pad((index[:, ::2] + np.ldexp(index[:, 1::2], FIELD)).T, ((0, 0), (0, 1)))
+
+
+def _unpacked(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    high = np.rint(np.ldexp(sums, -FIELD))
+    return sums - np.ldexp(high, FIELD), high
+
+
 def _slots(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, doc = tokens(data, off)
     return (span_hash(prefix_hash(data), start, end) >> np.uint64(49)).astype(np.int64), doc
@@ -53,8 +71,8 @@ def _slots(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _context_sums(batches):
     """One task's table: for each slot the summed index vectors of its neighbours, and its count."""
-    index = index_vectors()
-    total = np.zeros((BUCKETS, DIM + 1), dtype=np.float64)
+    pairs = _index_pairs()
+    total = np.zeros((DIM + 1, BUCKETS), dtype=np.float64)
     seen = False
     for b in batches:
         for _, _, data, off in slabs(b.column(0)):
@@ -63,17 +81,24 @@ def _context_sums(batches):
             for p in range(0, len(all_slots), PIECE):     # with the neighbours on both sides
                 left = max(0, p - WINDOW)
                 slot, doc = all_slots[left:p + PIECE + WINDOW], all_docs[left:p + PIECE + WINDOW]
-                vec = index[slot]
-                around = np.zeros_like(vec)
-                for k in range(1, WINDOW + 1):
-                    same = (doc[k:] == doc[:-k])[:, None]
-                    around[k:] += vec[:-k] * same
-                    around[:-k] += vec[k:] * same
+                # empty places before, between and after the documents keep them apart
+                place = np.arange(len(slot)) + WINDOW * (doc - doc[0] + 1)
+                spaced = np.full(place[-1] + 1 + WINDOW, BUCKETS)
+                spaced[place] = slot
                 own = slice(p - left, p - left + PIECE)
-                for d in range(DIM):
-                    total[:, d] += np.bincount(slot[own], weights=around[own, d], minlength=BUCKETS)
-                total[:, DIM] += np.bincount(slot[own], minlength=BUCKETS)
+                slot, place = slot[own], place[own]
+                for i, column in enumerate(pairs):
+                    vec = column.take(spaced)
+                    around = np.zeros(len(vec) - 2 * WINDOW)
+                    for k in range(2 * WINDOW + 1):
+                        if k != WINDOW:
+                            around += vec[k:k + len(around)]
+                    low, high = _unpacked(np.bincount(slot, weights=around[place - WINDOW], minlength=BUCKETS))
+                    total[2 * i] += low
+                    total[2 * i + 1] += high
+                total[DIM] += np.bincount(slot, minlength=BUCKETS)
     if seen:
+        total = total.T
         # sums of small integers: exact in any order of addition
         rows = total.astype(np.int64).astype(np.int32) if np.abs(total).max() < 2**31 else total.astype(np.int64)
         blocks = range(BUCKETS // BLOCK)
@@ -101,20 +126,27 @@ class WordVectors:
 
     def features(self, col: pa.Array) -> np.ndarray:
         """Pooled features of every text of a string column."""
-        index = index_vectors()
+        w, v = self.weights[:, None], self.vectors
+        columns = np.ascontiguousarray(np.hstack([w, v * w, v * v * w]).T)
         out = np.zeros((len(col), 2 * DIM + 4), dtype=np.float32)
         for lo, hi, data, off in slabs(col):
             slots, docs = _slots(data, off)
-            # sums of each document: weights, tokens, vectors, their squares, index vectors
-            total = np.zeros((hi - lo, 2 + 3 * DIM))
+            # sums of each document: tokens, weights, vectors, their squares, index vectors
+            total = np.zeros((2 + 3 * DIM, hi - lo))
             for p in range(0, len(slots), PIECE):
                 slot, doc = slots[p:p + PIECE], docs[p:p + PIECE]
                 first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-                w, v = self.weights[slot][:, None], self.vectors[slot]
-                total[doc[first]] += np.add.reduceat(
-                    np.hstack([w, np.ones_like(w), v * w, v * v * w, index[slot]]), first, dtype=np.float64)
-            at = np.flatnonzero(total[:, 1])
-            sw, n = np.maximum(total[at, :1], 1e-9), total[at, 1:2]
+                own = doc[first]
+                total[0, own] += np.diff(np.r_[first, len(slot)])
+                for i, column in enumerate(columns):
+                    total[1 + i, own] += np.add.reduceat(column.take(slot), first, dtype=np.float64)
+                for i, column in enumerate(_index_pairs()):
+                    low, high = _unpacked(np.add.reduceat(column.take(slot), first))
+                    total[2 + 2 * DIM + 2 * i, own] += low
+                    total[3 + 2 * DIM + 2 * i, own] += high
+            total = np.ascontiguousarray(total.T)
+            at = np.flatnonzero(total[:, 0])
+            sw, n = np.maximum(total[at, 1:2], 1e-9), total[at, :1]
             mean, square, own = total[at, 2:2 + DIM] / sw, total[at, 2 + DIM:2 + 2 * DIM] / sw, total[at, 2 + 2 * DIM:] / n
             out[lo + at] = np.hstack([
                 mean, np.sqrt(np.maximum(square - mean * mean, 0)), np.sqrt((own * own).sum(axis=1, keepdims=True)),
